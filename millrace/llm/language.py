@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import pyarrow as pa
 import regex
@@ -27,14 +29,19 @@ LANGUAGES = tuple(LABELS)
 _LETTER = regex.compile(r"\p{L}")
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}'’]*")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
+_SCRIPTS = (("hangul", regex.compile(r"\p{Hangul}")), ("kana", regex.compile(r"[\p{Hiragana}\p{Katakana}]")), ("han", regex.compile(r"\p{Han}")))
 _SENTENCE = regex.compile(r"[^.!?。！？\n]+[.!?。！？]*[\"'”’»)）」』]*")
 _ADDRESS = regex.compile(r"(?:https?://|www\.)\S+|\S+@\S+")
 #: Sample for the dictionaries: documents per language, and characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 4000
+#: Size of a dictionary.
+DICT_BYTES = 96_000
 #: A part needs so many words, or characters in scripts without blanks, to be a sentence.
 MIN_WORDS, MIN_CHARS = 4, 8
 #: The smallest share by which the best language's code must be shorter than the next one's.
 MARGIN = 0.08
+#: The same for a language other than the document's main one.
+SECOND_MARGIN = 0.15
 
 
 def label_language(c: Column) -> Column:
@@ -51,6 +58,15 @@ def label_missing(c: Column) -> Column:
     return c.isNull() | F.lower(F.trim(c)).isin("", "-", "und", "unk", "unknown", "xx", "xxx", "null", "none", "n/a", "na", "zxx", "mis", "mul", "?")
 
 
+def script(text: str) -> str:
+    """The kind of writing: ``hangul``, ``kana`` (any kana), ``han`` or ``other``, whichever holds a quarter of the letters first."""
+    size = max(1, len(_LETTER.findall(text)))
+    for name, pattern in _SCRIPTS:
+        if len(pattern.findall(text)) >= 0.25 * size:
+            return name
+    return "other"
+
+
 def sentences(text: str) -> list[str]:
     """The parts of a text that are long enough to be sentences, markup and addresses aside."""
     out = []
@@ -78,6 +94,7 @@ class Languages:
             made = []
             for code, sample in self.samples.items():
                 d = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                d.precompute_compress(compression_params=params)
                 made.append((code, zstandard.ZstdCompressor(dict_data=d, compression_params=params)))
             kept[key] = made
         return kept[key]
@@ -90,31 +107,48 @@ class Languages:
             return sizes[0][1], 1.0
         return sizes[0][1], 1 - sizes[0][0] / sizes[1][0]
 
+    def is_shorter(self, text: str, code: str, margin: float) -> bool:
+        """If the code with the language's dictionary is shorter than every other by ``margin``."""
+        raw = text.lower().encode()
+        sizes = {c: len(z.compress(raw)) for c, z in self._coders()}
+        own = sizes.pop(code, None)
+        return own is not None and own <= (1 - margin) * min(sizes.values())
+
     def classify(self, text: str, margin: float = MARGIN) -> tuple[str | None, float]:
         code, far = self.rank(text)
         return (code if far >= margin else None), far
 
 
-def fit_languages(rows: list[tuple[str, str]], dict_bytes: int = 96_000) -> Languages:
-    """Dictionaries from labelled texts, some of them wrongly labelled.
+def fit_languages(rows: list[tuple[str, str]], dict_bytes: int = DICT_BYTES, margins: tuple[float, ...] = (0.25, 0.1, 0.05), regrow: int = 1) -> Languages:
+    """Dictionaries from labelled texts, some of them wrongly labelled or mixed.
 
-    Each half of the sentences is checked with dictionaries of the other half; only sentences found in the language
-    of their label go into the dictionaries, each once.
+    Sentences in a script that is rare for their label are left out. In each round either half of the sentences is checked with dictionaries of the other half; only sentences whose
+    code with the dictionary of their label is shorter than with any other, by the round's margin, go on to the next
+    round. The dictionaries of what is left, now clean, then choose anew from all sentences, ``regrow`` times. A label of which hardly anything is left is left out.
     """
     halves: list[dict[str, list[str]]] = [{}, {}]
     for i, (code, text) in enumerate(sorted(rows)):
-        for s in sentences(text):
-            halves[i % 2].setdefault(code, []).append(s)
-    pack = lambda parts: "\n".join(parts).lower().encode()[-dict_bytes:]
-    models = [Languages({code: pack(parts) for code, parts in half.items()}) for half in halves]
-    clean: dict[str, dict[str, None]] = {}
-    for i, half in enumerate(halves):
+        half = halves[i % 2].setdefault(code, [])
+        half += sentences(text)
+    halves = [{code: list(dict.fromkeys(parts)) for code, parts in half.items()} for half in halves]
+    for half in halves:
         for code, parts in half.items():
+            usual = Counter(map(script, parts))
+            half[code] = [s for s in parts if usual[script(s)] >= 0.2 * len(parts)]
+    pool = halves
+    pack = lambda parts: "\n".join(parts).lower().encode()[-dict_bytes:]
+    for margin in margins:
+        models = [Languages({code: pack(parts) for code, parts in half.items()}) for half in halves]
+        kept: list[dict[str, list[str]]] = [{}, {}]
+        for i, half in enumerate(halves):
             other = models[1 - i]
-            for s in dict.fromkeys(parts):
-                if len(other.samples) < 2 or other.rank(s)[0] == code:
-                    clean.setdefault(code, {})[s] = None
-    return Languages({code: pack(clean[code]) for code in sorted(clean)})
+            for code, parts in half.items():
+                kept[i][code] = [s for s in parts if len(other.samples) < 2 or other.is_shorter(s, code, margin)]
+        halves = [{code: parts for code, parts in half.items() if parts} for half in kept]
+    for _ in range(regrow):
+        model = Languages({code: pack([s for pair in zip_longest(halves[0].get(code, []), halves[1].get(code, [])) for s in pair if s]) for code in sorted(halves[0].keys() | halves[1].keys())})
+        halves = [{code: [s for s in parts if code in model.samples and (len(model.samples) < 2 or model.is_shorter(s, code, margins[-1]))] for code, parts in half.items()} for half in pool]
+    return Languages({code: pack([s for pair in zip_longest(halves[0].get(code, []), halves[1].get(code, [])) for s in pair if s]) for code in sorted(halves[0].keys() | halves[1].keys()) if halves[0].get(code) or halves[1].get(code)})
 
 
 def sample_labelled(docs: DataFrame, label: Column, text: str, doc_id: str, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
@@ -157,15 +191,18 @@ def _documents(batches: Iterator[pa.RecordBatch], model: Languages, margin: floa
                 for s in parts:
                     code, confidence = model.classify(s, margin)
                     if code:
-                        x = got.setdefault(code, [0, 0.0])
+                        x = got.setdefault(code, [0, 0.0, 0.0])
                         x[0] += len(s)
                         x[1] += confidence * len(s)
+                        x[2] = max(x[2], confidence)
+                main = max(got, key=lambda c: (got[c][0], c), default=None)
+                got = {c: x for c, x in got.items() if c == main or x[2] >= max(margin, SECOND_MARGIN)}
                 if not got:
                     words = _WORD.findall(_ADDRESS.sub(" ", unmark(text)))
                     if words:
                         code, confidence = model.classify(" ".join(words), margin)
                         if code:
-                            got[code] = [len(text), confidence * len(text)]
+                            got[code] = [len(text), confidence * len(text), confidence]
             order = sorted(got, key=lambda c: (-got[c][0], c))
             langs.append(order)
             sizes.append([got[c][0] for c in order])
@@ -187,7 +224,8 @@ def segment_languages(docs: DataFrame, doc_id: str, text: str, model: Languages,
 def document_languages(docs: DataFrame, doc_id: str, text: str, model: Languages, margin: float = MARGIN) -> DataFrame:
     """The languages of each document, the one with most characters first: ``doc_id, langs, sizes, confidences``.
 
-    A language counts if a whole sentence is in it beyond ``margin``; a text without any such sentence is classed as
+    A language counts if a whole sentence is in it beyond ``margin``, one that isn't the main language only beyond
+    ``SECOND_MARGIN`` too; a text without any such sentence is classed as
     a whole. Texts that are null, empty, without words or too near to several languages have an empty list.
     Every input row gives a row; other columns don't matter.
     """
