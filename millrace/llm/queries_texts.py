@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.language import document_languages, fit_languages, label_language, label_missing, sample_labelled, segment_languages
 from millrace.llm.leak import find_leaks
+from millrace.llm.mixture import draw, shares
+from millrace.llm.tokens import count_tokens
 from millrace.plans.tables import table
 
 
@@ -40,5 +42,22 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return segment_languages(docs, "doc_id", "text", _model(docs)).withColumn("confidence", F.round("confidence", 6))
 
 
-QUERIES = {"p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found, "p10_segments": p10_segments}
+def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    source = F.translate(F.lower(F.trim("source")), "- ", "__")
+    docs = count_tokens(table(spark, d, "documents").select(F.col("doc_id").alias("id"), source.alias("source"), "text"), ["id", "source"], "text")
+    targets = table(spark, d, "mix_targets")
+    return draw(docs, targets)[0], targets
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The documents drawn, with their copies."""
+    return _mixture(spark, d)[0].withColumnRenamed("id", "doc_id")
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return shares(*_mixture(spark, d))
+
+
+QUERIES = {"p9_mixture": p9_mixture, "p9_shares": p9_shares, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found, "p10_segments": p10_segments}
 SQL: dict[str, str] = {}
