@@ -76,7 +76,7 @@ def balance(histogram: DataFrame, sources: dict[str, Source], tolerance: float =
         x = pick("a") + pick("b") * t
         top = F.log(pick("cap"))
         w = F.exp(F.least(x, top))
-        bend = F.when(x < top, w).otherwise(0.0)
+        bend = F.when(x <= top, w).otherwise(0.0)
         n = F.col("n")
         rows = (
             histogram.where(F.col("source").isin(*open_))
@@ -92,6 +92,9 @@ def balance(histogram: DataFrame, sources: dict[str, Source], tolerance: float =
             if abs(g1) <= tolerance * want and abs(g0) <= tolerance * want:
                 del open_[name]
                 continue
+            if h00 <= 1e-9 * s0:  # nearly all documents are beyond the cap: back to where the rates bend
+                s.a -= math.copysign(1.0, g0)
+                continue
             damp = 1e-12 * (h00 + h11) + 1e-300
             h00, h11 = h00 + damp, h11 + damp
             det = h00 * h11 - h01 * h01
