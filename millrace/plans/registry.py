@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import problems
+from millrace.plans import crm_queries, problems
 
-_MODULES = [problems]
+_MODULES = [problems, crm_queries]
 
 
 def queries() -> dict:
