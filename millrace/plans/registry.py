@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import crm_queries, problems
+from millrace.plans import crm_queries, log_queries, problems, text_queries
 
-_MODULES = [problems, crm_queries]
+_MODULES = [problems, crm_queries, log_queries, text_queries]
 
 
 def queries() -> dict:
