@@ -75,7 +75,7 @@ def similarity_histogram(pairs: DataFrame, similarity: str, bins: int = 100) ->
 def html_to_text(c: Column) -> Column:
     """Tags become commas between the trimmed pieces of text; references of the common five are resolved."""
     t = F.regexp_replace(F.regexp_replace(c, r"(?is)<(script|style)[^>]*>.*?</\1>|<!--.*?-->", ""), r"<[^>]+>", "\u0001")
-    parts = F.filter(F.transform(F.split(t, "\u0001"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(t, "\u0001"), lambda x: F.trim(x)), lambda x: x != "")
     out = F.array_join(parts, ",")
     for name, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         out = F.replace(out, F.lit(name), F.lit(sign))
