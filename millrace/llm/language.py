@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import sys
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import zip_longest
 
 import pyarrow as pa
 import regex
@@ -27,6 +27,7 @@ LABELS = {
 }
 LANGUAGES = tuple(LABELS)
 _LETTER = regex.compile(r"\p{L}")
+_NO_LETTER = regex.compile(r"\P{L}+")
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}'’]*")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _SCRIPTS = (("hangul", regex.compile(r"\p{Hangul}")), ("kana", regex.compile(r"[\p{Hiragana}\p{Katakana}]")), ("han", regex.compile(r"\p{Han}")))
@@ -58,6 +59,11 @@ def label_missing(c: Column) -> Column:
     return c.isNull() | F.lower(F.trim(c)).isin("", "-", "und", "unk", "unknown", "xx", "xxx", "null", "none", "n/a", "na", "zxx", "mis", "mul", "?")
 
 
+def letters(text: str) -> str:
+    """A sentence's letters alone, by which copies with other figures are the same."""
+    return _NO_LETTER.sub("", text.lower())
+
+
 def script(text: str) -> str:
     """The kind of writing: ``hangul``, ``kana`` (any kana), ``han`` or ``other``, whichever holds a quarter of the letters first."""
     size = max(1, len(_LETTER.findall(text)))
@@ -107,48 +113,59 @@ class Languages:
             return sizes[0][1], 1.0
         return sizes[0][1], 1 - sizes[0][0] / sizes[1][0]
 
-    def is_shorter(self, text: str, code: str, margin: float) -> bool:
-        """If the code with the language's dictionary is shorter than every other by ``margin``."""
-        raw = text.lower().encode()
-        sizes = {c: len(z.compress(raw)) for c, z in self._coders()}
-        own = sizes.pop(code, None)
-        return own is not None and own <= (1 - margin) * min(sizes.values())
-
     def classify(self, text: str, margin: float = MARGIN) -> tuple[str | None, float]:
         code, far = self.rank(text)
         return (code if far >= margin else None), far
 
 
-def fit_languages(rows: list[tuple[str, str]], dict_bytes: int = DICT_BYTES, margins: tuple[float, ...] = (0.25, 0.1, 0.05), regrow: int = 1) -> Languages:
+def fit_languages(rows: list[tuple[str, str]], dict_bytes: int = DICT_BYTES, n_chunks: int = 8, chunk_bytes: int = 16_000, rounds: int = 2, max_sentences: int = 1200) -> Languages:
     """Dictionaries from labelled texts, some of them wrongly labelled or mixed.
 
-    Sentences in a script that is rare for their label are left out. In each round either half of the sentences is checked with dictionaries of the other half; only sentences whose
-    code with the dictionary of their label is shorter than with any other, by the round's margin, go on to the next
-    round. The dictionaries of what is left, now clean, then choose anew from all sentences, ``regrow`` times. A label of which hardly anything is left is left out.
+    Sentences in a script that is rare for their label are left out. Sentences that come again and again (the same
+    letters in at least six texts) go to the label that most of them have, each label's texts weighing the same, if it
+    has over 0.6 of the weight, and to none that has under 0.3. The rest, at most ``max_sentences`` a label, is cut into
+    ``n_chunks`` by the hash of its letters, each with small dictionaries of its own, and a sentence stays if most of
+    the other chunks find it in the language of its label: a wrong label would have to be common in most of them.
+    After ``rounds`` of that what is left makes the dictionaries. A label of which nothing is left is left out.
     """
-    halves: list[dict[str, list[str]]] = [{}, {}]
-    for i, (code, text) in enumerate(sorted(rows)):
-        half = halves[i % 2].setdefault(code, [])
-        half += sentences(text)
-    halves = [{code: list(dict.fromkeys(parts)) for code, parts in half.items()} for half in halves]
-    for half in halves:
-        for code, parts in half.items():
-            usual = Counter(map(script, parts))
-            half[code] = [s for s in parts if usual[script(s)] >= 0.2 * len(parts)]
-    pool = halves
-    pack = lambda parts: "\n".join(parts).lower().encode()[-dict_bytes:]
-    for margin in margins:
-        models = [Languages({code: pack(parts) for code, parts in half.items()}) for half in halves]
-        kept: list[dict[str, list[str]]] = [{}, {}]
-        for i, half in enumerate(halves):
-            other = models[1 - i]
-            for code, parts in half.items():
-                kept[i][code] = [s for s in parts if len(other.samples) < 2 or other.is_shorter(s, code, margin)]
-        halves = [{code: parts for code, parts in half.items() if parts} for half in kept]
-    for _ in range(regrow):
-        model = Languages({code: pack([s for pair in zip_longest(halves[0].get(code, []), halves[1].get(code, [])) for s in pair if s]) for code in sorted(halves[0].keys() | halves[1].keys())})
-        halves = [{code: [s for s in parts if code in model.samples and (len(model.samples) < 2 or model.is_shorter(s, code, margins[-1]))] for code, parts in half.items()} for half in pool]
-    return Languages({code: pack([s for pair in zip_longest(halves[0].get(code, []), halves[1].get(code, [])) for s in pair if s]) for code in sorted(halves[0].keys() | halves[1].keys()) if halves[0].get(code) or halves[1].get(code)})
+    by_label: dict[str, dict[str, list[str]]] = {}
+    weight: dict[str, Counter] = {}
+    seen: Counter = Counter()
+    size = Counter(code for code, _ in rows)
+    for code, text in sorted(rows):
+        for key, s in {letters(s): s for s in sentences(text)}.items():
+            by_label.setdefault(code, {}).setdefault(key, []).append(s)
+            weight.setdefault(key, Counter())[code] += 1 / size[code]
+            seen[key] += 1
+    sure: dict[str, list[str]] = {}
+    rest: dict[str, list[tuple[int, str]]] = {}
+    for code, keys in by_label.items():
+        usual = Counter(script(s) for parts in keys.values() for s in parts)
+        spread = sorted((zlib.crc32(key.encode()), key) for key in keys)
+        for h, key in spread:
+            parts = keys[key]
+            if usual[script(parts[0])] < 0.2 * usual.total():
+                continue
+            if seen[key] >= 6 and (share := weight[key][code] / weight[key].total()) > 0.6:
+                sure.setdefault(code, []).extend(list(dict.fromkeys(parts))[:2])
+            elif seen[key] >= 6 and share < 0.3:
+                continue
+            elif len(own := rest.setdefault(code, [])) < max_sentences:
+                own.append((h % n_chunks, parts[0]))
+
+    def fitted(most: int, used: dict[str, list[str]]) -> Languages:
+        made = {}
+        for code in sorted({*sure, *used}):
+            own = "\n".join(sure.get(code, [])).lower().encode()[-most // 2 :]
+            more = "\n".join(used.get(code, [])).lower().encode()
+            if own or more:
+                made[code] = more[-(most - len(own)) :] + b"\n" + own
+        return Languages(made)
+
+    for _ in range(rounds):
+        models = [fitted(chunk_bytes, {code: [s for c, s in parts if c == chunk] for code, parts in rest.items()}) for chunk in range(n_chunks)]
+        rest = {code: [(c, s) for c, s in parts if 2 * sum(m.rank(s)[0] == code for i, m in enumerate(models) if i != c and m.samples) > n_chunks - 1] for code, parts in rest.items()}
+    return fitted(dict_bytes, {code: [s for _, s in parts] for code, parts in rest.items()})
 
 
 def sample_labelled(docs: DataFrame, label: Column, text: str, doc_id: str, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
