@@ -16,23 +16,27 @@ def top_n(df: DataFrame, groups: list[str], score: str, ties: list[Column], n: i
 
     Rows with a null score are left out; null group keys form a group of their own; ``ties`` should order rows with
     one score fully, else which of them comes first isn't fixed; repeated rows count each; an empty table gives no
-    rows; all columns of ``df`` come back.
+    rows; all columns of ``df`` come back, but one named ``rank`` is replaced.
 
     A histogram of each group's scores (combined before its shuffle, so a group of any size sends few rows) gives
     the highest bin from which at least ``n`` rows remain. Rows below it are dropped; only the rest is ranked, and
     of that each task sends on at most ``n`` rows a group.
     """
-    scored = df.where(F.col(score).isNotNull()).withColumn("_bin", score_bin(F.col(score)))
-    w = Window.partitionBy(*groups).orderBy(F.desc("_bin"))
+    p = "_"
+    while any(c.lower().startswith(p) for c in df.columns):
+        p += "_"
+    bin_, n_, above, cut_ = f"{p}bin", f"{p}n", f"{p}above", f"{p}cut"
+    scored = df.where(F.col(score).isNotNull()).withColumn(bin_, score_bin(F.col(score)))
+    w = Window.partitionBy(*groups).orderBy(F.desc(bin_))
     cut = (
-        scored.groupBy(*groups, "_bin")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_above", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        scored.groupBy(*groups, bin_)
+        .agg(F.count(F.lit(1)).alias(n_))
+        .withColumn(above, F.sum(n_).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .groupBy(*groups)
-        .agg(F.coalesce(F.max(F.when(F.col("_above") >= n, F.col("_bin"))), F.min("_bin")).alias("_cut"))
-        .select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], "_cut")
+        .agg(F.coalesce(F.max(F.when(F.col(above) >= n, F.col(bin_))), F.min(bin_)).alias(cut_))
+        .select(*[F.col(g).alias(f"{p}g{i}") for i, g in enumerate(groups)], cut_)
     )
-    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]
-    left = scored.join(cut, same).where(F.col("_bin") >= F.col("_cut")).select(*df.columns)
+    same = [F.col(g).eqNullSafe(F.col(f"{p}g{i}")) for i, g in enumerate(groups)]
+    left = scored.join(cut, same).where(F.col(bin_) >= F.col(cut_)).select(*df.columns)
     order = Window.partitionBy(*groups).orderBy(F.desc(score), *ties)
     return left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
