@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.functions.text import WORD_CHAR, fold, unmark, words
 
@@ -66,7 +67,7 @@ def passages(items: list[tuple], n_words: int, n_chars: int) -> tuple[WuManber,
     return WuManber(n_words, freeze(by_word)), WuManber(n_chars, freeze(by_char))
 
 
-def _scan(batches: Iterator[pa.RecordBatch], by_word: WuManber, by_char: WuManber, names: list[str]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], by_word: WuManber, by_char: WuManber, names: list[str], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     for b in batches:
         doc, item, hits = [], [], []
         for i, text in enumerate(b.column(1).to_pylist()):
@@ -86,7 +87,7 @@ def _scan(batches: Iterator[pa.RecordBatch], by_word: WuManber, by_char: WuManbe
             item += count.keys()
             hits += count.values()
         if doc:
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(item), pa.array(hits, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(item, kind), pa.array(hits, pa.int64())], names=names)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_lang: str, item_text: str, n_words: int = 10, n_chars: int = 20, max_items: int = 20_000) -> DataFrame:
@@ -105,11 +106,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_i
     n_parts = max(1, -(-items.count() // max_items))
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(items.dtypes)[item_id]
+    arrow = to_arrow_type(items.schema[item_id].dataType)
     out = None
     for part in range(n_parts):
         own = items if n_parts == 1 else items.where(F.pmod(F.xxhash64(item_id), F.lit(n_parts)) == part)
         by_word, by_char = passages([tuple(r) for r in own.collect()], n_words, n_chars)
         names = ["doc_id", "item_id", "n_windows"]
-        got = d.mapInArrow(lambda b, w=by_word, c=by_char: _scan(b, w, c, names), f"doc_id {dict(d.dtypes)['doc_id']}, item_id {kind}, n_windows bigint")
+        got = d.mapInArrow(lambda b, w=by_word, c=by_char: _scan(b, w, c, names, arrow), f"doc_id {dict(d.dtypes)['doc_id']}, item_id {kind}, n_windows bigint")
         out = got if out is None else out.unionByName(got)
     return out

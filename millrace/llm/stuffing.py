@@ -32,24 +32,28 @@ LINK_CHARS = 12
 LEAST_WORDS, LEAST_KANA, LEAST_HAN = 6, 16, 9
 #: The least average of words, or characters, between separators.
 LEAST_PER_PART, LEAST_CHARS_PER_PART = 2.6, 4.5
+#: From so many parts on a sentence's parts are longer: words, characters with kana among them, without.
+MANY_PARTS, LONG_WORDS, LONG_KANA, LONG_HAN = 5, 4.6, 14.0, 8.5
 
 
 def shape(piece: str) -> tuple:
-    """(script, size, size per part between separators, share of capitals, ends as a sentence), the sizes on a coarse scale."""
+    """(script, size, size per part between separators, many parts, share of capitals, ends as a sentence), the sizes on a coarse scale."""
     unspaced = len(_UNSPACED.findall(piece))
     words = _WORD.findall(piece) if unspaced < 4 else []
     parts = len(_SEPARATOR.findall(piece.strip(" ,，、/|;；·•»›"))) + 1
     ends = piece.rstrip()[-1:] in ".!?。！？"
     if words:
         capitals = sum(w[0].isupper() for w in words)
-        return ("words", min(len(words), 40), round(min(len(words) / parts, 12.0), 1), round(4 * capitals / len(words)), ends)
+        return ("words", min(len(words), 40), round(min(len(words) / parts, 12.0), 1), parts >= MANY_PARTS, round(4 * capitals / len(words)), ends)
     kind = "kana" if len(_KANA.findall(piece)) * 5 >= unspaced > 0 else "han"
-    return (kind, min(unspaced, 60), round(min(unspaced / parts, 30.0), 1), 0, ends)
+    return (kind, min(unspaced, 60), round(min(unspaced / parts, 30.0), 1), parts >= MANY_PARTS, 0, ends)
 
 
 def is_sentence(s: tuple) -> bool:
     """If a shape is one of sentences."""
-    kind, size, per_part, capitals, _ = s
+    kind, size, per_part, many, capitals, _ = s
+    if many and per_part < {"words": LONG_WORDS, "kana": LONG_KANA, "han": LONG_HAN}[kind]:
+        return False
     if kind == "words":
         return size >= LEAST_WORDS and per_part >= LEAST_PER_PART and capitals < 4
     return size >= (LEAST_KANA if kind == "kana" else LEAST_HAN) and per_part >= LEAST_CHARS_PER_PART
