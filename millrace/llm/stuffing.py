@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 import regex
@@ -32,26 +33,37 @@ LINK_CHARS = 12
 LEAST_WORDS, LEAST_KANA, LEAST_HAN = 6, 16, 9
 #: The least average of words, or characters, between separators.
 LEAST_PER_PART, LEAST_CHARS_PER_PART = 2.6, 4.5
+#: From so many words, or characters, on a piece's repetition counts.
+REPEAT_WORDS, REPEAT_CHARS = 12, 24
 #: From so many parts on a sentence's parts are longer: words, characters with kana among them, without.
 MANY_PARTS, LONG_WORDS, LONG_KANA, LONG_HAN = 5, 4.6, 14.0, 8.5
 
 
+def _repeated(units: list[str], least: int) -> int:
+    return int(4 * (1 - len(set(units)) / len(units))) if len(units) >= least else 0
+
+
 def shape(piece: str) -> tuple:
-    """(script, size, size per part between separators, many parts, share of capitals, ends as a sentence), the sizes on a coarse scale."""
+    """(script, size, size per part between separators, many parts, share of capitals, quarters repeated, ends as a sentence), the sizes on a coarse scale.
+
+    ``quarters repeated`` tells of a long piece how much of it are words, or pairs of characters, it had before.
+    """
     unspaced = len(_UNSPACED.findall(piece))
     words = _WORD.findall(piece) if unspaced < 4 else []
     parts = len(_SEPARATOR.findall(piece.strip(" ,，、/|;；·•»›"))) + 1
     ends = piece.rstrip()[-1:] in ".!?。！？"
     if words:
         capitals = sum(w[0].isupper() for w in words)
-        return ("words", min(len(words), 40), round(min(len(words) / parts, 12.0), 1), parts >= MANY_PARTS, round(4 * capitals / len(words)), ends)
+        return ("words", min(len(words), 40), round(min(len(words) / parts, 12.0), 1), parts >= MANY_PARTS, round(4 * capitals / len(words)), _repeated([w.lower() for w in words], REPEAT_WORDS), ends)
     kind = "kana" if len(_KANA.findall(piece)) * 5 >= unspaced > 0 else "han"
-    return (kind, min(unspaced, 60), round(min(unspaced / parts, 30.0), 1), parts >= MANY_PARTS, 0, ends)
+    return (kind, min(unspaced, 60), round(min(unspaced / parts, 30.0), 1), parts >= MANY_PARTS, 0, _repeated([a + b for a, b in pairwise(_UNSPACED.findall(piece))], REPEAT_CHARS), ends)
 
 
 def is_sentence(s: tuple) -> bool:
     """If a shape is one of sentences."""
-    kind, size, per_part, many, capitals, _ = s
+    kind, size, per_part, many, capitals, repeated, ends = s
+    if repeated >= (2 if ends else 1):
+        return False
     if many and per_part < {"words": LONG_WORDS, "kana": LONG_KANA, "han": LONG_HAN}[kind]:
         return False
     if kind == "words":
