@@ -75,7 +75,7 @@ STUFFED = [
     "<div style='display:none'>" + "。".join(["檯燈推薦", "檯燈便宜", "翠杉村檯燈", "檯燈"] * 6) + "</div>",
     "".join(f"<a href='http://a.example/{i}'>desk lamp {i}</a><br>" for i in range(12)),
     "bento box buy online Torutima bento box BENTO BOX bento box best price bento box review bento box cheap " * 3,
-    "藍杉溪蛋塔蛋塔哪裡買芒果冰桐螢溪芒果冰藍帆溪芒果冰芒果冰銀雁村芒果冰芒果冰優惠蛋塔推薦藍笛小徑野餐墊芒果冰優惠野餐墊蛋塔",
+    "藍杉溪蛋塔蛋塔哪裡買芒果冰桐螢溪芒果冰藍帆溪芒果冰芒果冰銀雁村芒果冰芒果冰優惠蛋塔推薦藍笛小徑野餐墊芒果冰優惠野餐墊蛋塔" * 4,
     "手鏡口コミ / 手鏡通販 / 梅ゼリー激安 / " * 8,
 ]
 FINE = [GOOD, f"<p>{GOOD}</p><a href='http://a.example'>more</a>", "# Soup\n\n" + GOOD + "\n\n- 200 g rice\n- 3 kg salt", "我們日出時分走到穗鹿村，發現玻璃涼亭還是一樣狹窄。房間正對著碼頭售票口，離樓梯8步。", "", "   ", None, "<p></p>"]
