@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 #: Texts that stand for a missing value.
@@ -22,36 +24,35 @@ def clean_path(c: Column, sep: str = "^") -> Column:
 
 def parse_number(c: Column) -> Column:
     """Text in several notations (blanks, thousands commas, exponents) as double; null if it is none."""
-    return F.expr(f"try_cast(replace({_sql(c)}, ',', '') as double)") if isinstance(c, str) else F.replace(clean_text(c), F.lit(","), F.lit("")).try_cast("double")
+    return F.replace(clean_text(c), F.lit(","), F.lit("")).try_cast("double")
 
 
-def _sql(name: str) -> str:
-    return f"trim(`{name}`)"
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def parse_day(c: Column) -> Column:
     """``yyyy-MM-dd``, ``yyyy/MM/dd``, ``yyyyMMdd`` (each with a time of day behind or not) and ``dd-MMM-yyyy`` as date."""
-    t = F.trim(c)
-    digits = F.regexp_extract(t, r"^(\d{4})[-/]?(\d{2})[-/]?(\d{2})(?:[T ].*)?$", 0)
-    plain = F.substring(F.regexp_replace(F.substring(digits, 1, 10), "[-/]", ""), 1, 8)
-    named = F.initcap(F.regexp_extract(t, r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", 0))
-    return F.coalesce(F.try_to_date(F.when(digits != "", plain), "yyyyMMdd"), F.try_to_date(F.when(named != "", named), "d-MMM-yyyy"))
+    named = lambda t: F.try_to_date(F.when(t.rlike(r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"), F.initcap(t)), "d-MMM-yyyy")
+    return _let(F.regexp_replace(F.trim(c), r"^(\d{4})[-/]?(\d{2})[-/]?(\d{2})(?:[T ].*)?$", "#$1-$2-$3"), lambda t: F.when(t.startswith("#"), F.substring(t, 2, 10).try_cast("date")).otherwise(named(t)))
 
 
 def parse_second_of_day(c: Column) -> Column:
     """``HH:mm:ss``, with a fraction (cut off), ``HHmmss`` and ``h:mm:ss AM`` as second of the day; null if it is none."""
-    t = F.upper(F.trim(c))
-    pattern = r"^(\d{1,2}):?(\d{2}):?(\d{2})(?:\.\d+)?\s*([AP]M)?$"
-    valid = t.rlike(pattern)
-    part = lambda i: F.when(valid, F.regexp_extract(t, pattern, i)).try_cast("int")
-    half = F.when(valid, F.regexp_extract(t, pattern, 4))
-    h, m, s = part(1), part(2), part(3)
-    hour = F.when(half == "", h).when(h.between(1, 12), F.pmod(h, F.lit(12)) + F.when(half == "PM", 12).otherwise(0))
-    return F.when((hour < 24) & (m < 60) & (s < 60), hour * 3600 + m * 60 + s)
+    found = F.regexp_replace(F.upper(F.trim(c)), r"^(\d{1,2}):?(\d{2}):?(\d{2})(?:\.\d+)?\s*([AP]M)?$", "#:$1:$2:$3:$4")
+
+    def second(x: Column) -> Column:
+        h, m, s, half = x[1].try_cast("int"), x[2].try_cast("int"), x[3].try_cast("int"), x[4]
+        hour = F.when(half == "", h).when(h.between(1, 12), F.pmod(h, F.lit(12)) + F.when(half == "PM", 12).otherwise(0))
+        return F.when((x[0] == "#") & (hour < 24) & (m < 60) & (s < 60), hour * 3600 + m * 60 + s)
+
+    return _let(F.split(F.when(found.startswith("#"), found), ":"), second)
 
 
 def epoch_millis(c: Column) -> Column:
     """An epoch in seconds, milliseconds or microseconds as milliseconds."""
+    c = c.cast("bigint")
     return F.when(F.abs(c) >= 10**14, F.floor(c / 1000)).when(F.abs(c) >= 10**11, c).otherwise(c * 1000).cast("bigint")
 
 
