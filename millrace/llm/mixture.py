@@ -58,12 +58,12 @@ def _pick(values: dict[str, float], key: str) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col(key)]
 
 
-def balance(histogram: DataFrame, sources: dict[str, Source], tolerance: float = 1e-9, max_steps: int = 60) -> None:
+def balance(histogram: DataFrame, sources: dict[str, Source], tolerance: float = 1e-9, max_steps: int = 60, keep_mean_length: bool = True) -> None:
     """Newton steps on the convex dual of entropy balancing, for all sources at once.
 
     ``histogram`` has ``source, n_tokens, n``, which is all that the dual needs of the documents. Rates ``w`` have
-    the least relative entropy to 1 (each document once) of all with ``sum w t = goal`` and ``sum w = goal / mean``
-    (so that a source's documents keep their mean length), never above the cap. Gradient and Hessian of every
+    the least relative entropy to 1 (each document once) of all with ``sum w t = goal`` and, with
+    ``keep_mean_length``, ``sum w = goal / mean`` (without it ``a`` stays 0 and rates tilt with length), never above the cap. Gradient and Hessian of every
     source come from one distributed aggregate a step; the steps themselves, 2 x 2, are taken here.
     """
     active = {k: s for k, s in sources.items() if not s.full}
@@ -89,9 +89,13 @@ def balance(histogram: DataFrame, sources: dict[str, Source], tolerance: float =
             want = s.goal / s.mean
             g0, g1 = s0 - want, s1 - want
             s.steps += 1
-            if abs(g1) <= tolerance * want and abs(g0) <= tolerance * want:
+            if abs(g1) <= tolerance * want and (abs(g0) <= tolerance * want or not keep_mean_length):
                 del open_[name]
                 continue
+            if not keep_mean_length:
+                step = -g1 / h11 if h11 > 1e-9 * s1 else -math.copysign(1.0, g1)
+                s.b += max(-1.0, min(1.0, step))
+                continue
             if h00 <= 1e-9 * s0:  # nearly all documents are beyond the cap: back to where the rates bend
                 s.a -= math.copysign(1.0, g0)
                 continue
@@ -106,7 +110,7 @@ def balance(histogram: DataFrame, sources: dict[str, Source], tolerance: float =
             s.a, s.b = s.a + scale * da, s.b + scale * db
 
 
-def draw(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 7, max_sources: int = 10_000) -> tuple[DataFrame, dict[str, Source]]:
+def draw(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 7, max_sources: int = 10_000, keep_mean_length: bool = True) -> tuple[DataFrame, dict[str, Source]]:
     """``id, source, n_tokens, copies`` of the documents drawn (``copies`` at least 1), and what was solved for each source.
 
     ``docs`` has ``id, source, n_tokens``; ``targets`` has ``source, target_share, max_repeat`` (unique sources).
@@ -128,7 +132,7 @@ def draw(docs: DataFrame, targets: DataFrame, total: float | None = None, seed:
         sources[name].docs, sources[name].tokens = n, tokens
     set_goals(sources, float(total) if total is not None else float(sum(s.tokens for s in sources.values() if s.share > 0)))
     histogram = histogram.checkpoint()
-    balance(histogram, sources)
+    balance(histogram, sources, keep_mean_length=keep_mean_length)
     used = {k: s for k, s in sources.items() if s.goal > 0}
     if not used:
         return d.where("false").select("*", F.lit(0).cast("bigint").alias("copies")), sources

@@ -144,14 +144,16 @@ def test_mixture_edges(spark):
     assert sum(r["copies"] for r in drawn.collect()) == pytest.approx(150, abs=1)
 
 
-def test_dual_is_solved(spark):
+@pytest.mark.parametrize("keep", [True, False])
+def test_dual_is_solved(spark, keep):
     docs = [("a", n, n % 5 + 1) for n in range(1, 80)]
     s = {"a": Source(1.0, 3, sum(c for _, _, c in docs), sum(n * c for _, n, c in docs))}
     set_goals(s, 1.7 * s["a"].tokens)
-    balance(spark.createDataFrame(docs, "source string, n_tokens bigint, n bigint"), s)
+    balance(spark.createDataFrame(docs, "source string, n_tokens bigint, n bigint"), s, keep_mean_length=keep)
     import math
 
     x = s["a"]
+    assert (x.a == 0) != keep and (abs(x.b) > 0.1) != keep
     assert sum(c * n * min(3, math.exp(x.a + x.b * n / x.mean)) for _, n, c in docs) == pytest.approx(x.goal, rel=1e-6)
 
 
