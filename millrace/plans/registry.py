@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import crm_queries, log_queries, ml_queries, problems, text_queries
+from millrace.plans import crm_queries, log_queries, ml_queries, problems, sampling_queries, text_queries
 
-_MODULES = [problems, crm_queries, log_queries, text_queries, ml_queries]
+_MODULES = [problems, crm_queries, log_queries, text_queries, ml_queries, sampling_queries]
 
 
 def queries() -> dict:
