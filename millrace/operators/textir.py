@@ -59,17 +59,72 @@ def cosine_join(a: DataFrame, b: DataFrame, max_df: int | None = None) -> DataFr
     return dots.join(na, "doc_a").join(nb, "doc_b").select("doc_a", "doc_b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("similarity"))
 
 
-def threshold_curve(pairs: DataFrame, similarity: str, is_match: str, n_true: int, bins: int = 100) -> DataFrame:
-    """Precision, recall and F at each of ``bins`` thresholds, from one histogram and reverse cumulative sums."""
-    g = pairs.groupBy(F.least(F.floor(F.col(similarity) * bins), F.lit(bins - 1)).cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(is_match).cast("bigint")).alias("m"))
+def copy_classes(df: DataFrame, doc: str, text: str) -> DataFrame:
+    """``doc, rep``: every document with a text and the first one that has the same tokens or, where there are none, the same text.
+
+    Documents of one class have the same weights, so a similarity join over one of each stands for all of them.
+    """
+    t = tokens(F.col(text))
+    key = F.when(F.size(t) > 0, F.array_join(F.array_sort(t), " ")).otherwise(F.concat(F.lit("="), F.col(text)))
+    d = df.where(F.trim(F.col(text)) != "").select(F.col(doc).alias("doc"), key.alias("_key"))
+    return d.join(d.groupBy("_key").agg(F.min("doc").alias("rep")), "_key").select("doc", "rep")
+
+
+def class_sizes(classes: DataFrame) -> DataFrame:
+    return classes.groupBy("rep").agg(F.count(F.lit(1)).alias("size"))
+
+
+def class_weights(df: DataFrame, doc: str, text: str, classes: DataFrame, n_docs: int) -> DataFrame:
+    """``doc, token, weight`` of each class's first document, with the weights it has among all documents."""
+    sizes = class_sizes(classes)
+    tf = term_frequencies(df.join(sizes, F.col(doc) == F.col("rep"), "left_semi"), doc, text)
+    idf = tf.join(sizes, F.col("doc") == F.col("rep")).groupBy("token").agg((F.lit(float(n_docs)) / F.sum("size")).alias("idf"))
+    return tf_idf(tf, idf)
+
+
+def class_pairs(weights: DataFrame) -> DataFrame:
+    """``doc_a, doc_b, similarity`` of all pairs of classes with a token in common, once each (``doc_a < doc_b``)."""
+    return cosine_join(weights, weights).where("doc_a < doc_b")
+
+
+def expand_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of documents (``doc_a < doc_b``) that pairs of classes stand for, and those within a class, of similarity 1."""
+    a, b = classes.toDF("_a", "doc_a"), classes.toDF("_b", "doc_b")
+    across = pairs.join(a, "doc_a").join(b, "doc_b").select(F.least("_a", "_b").alias("doc_a"), F.greatest("_a", "_b").alias("doc_b"), "similarity")
+    within = classes.toDF("doc_a", "rep").join(classes.toDF("doc_b", "rep"), "rep").where("doc_a < doc_b").select("doc_a", "doc_b", F.lit(1.0).alias("similarity"))
+    return across.unionByName(within)
+
+
+def pair_counts(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``doc_a, doc_b, similarity, n``: pairs of classes with the number of document pairs they stand for; a class with itself has similarity 1."""
+    sizes = class_sizes(classes)
+    across = pairs.join(sizes.toDF("doc_a", "_na"), "doc_a").join(sizes.toDF("doc_b", "_nb"), "doc_b").select("doc_a", "doc_b", "similarity", (F.col("_na") * F.col("_nb")).alias("n"))
+    within = sizes.where("size > 1").select(F.col("rep").alias("doc_a"), F.col("rep").alias("doc_b"), F.lit(1.0).alias("similarity"), (F.col("size") * (F.col("size") - 1) / 2).cast("bigint").alias("n"))
+    return across.unionByName(within)
+
+
+def same_counts(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``pairs`` with ``m``, how many of each row's document pairs share their label; ``labels`` is ``rep, label, size``, without nulls."""
+    a, b = labels.toDF("doc_a", "_label", "_a"), labels.toDF("doc_b", "_label", "_b")
+    both = F.when(F.col("doc_a") == F.col("doc_b"), F.col("_a") * (F.col("_a") - 1) / 2).otherwise(F.col("_a") * F.col("_b")).cast("bigint")
+    m = pairs.select("doc_a", "doc_b").join(a, "doc_a").join(b, ["doc_b", "_label"]).groupBy("doc_a", "doc_b").agg(F.sum(both).alias("m"))
+    return pairs.join(m, ["doc_a", "doc_b"], "left").na.fill(0, ["m"])
+
+
+def threshold_curve(pairs: DataFrame, similarity: str, is_match: str, n_true: int, bins: int = 100, weight: str | None = None) -> DataFrame:
+    """Precision, recall and F at each of ``bins`` thresholds, from one histogram and reverse cumulative sums.
+
+    With ``weight`` a row stands for so many pairs, and ``is_match`` is how many of them match.
+    """
+    g = pairs.groupBy(F.least(F.floor(F.col(similarity) * bins), F.lit(bins - 1)).cast("bigint").alias("bin")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"), F.sum(F.col(is_match).cast("bigint")).alias("m"))
     w = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most `bins` rows
     c = g.withColumns({"tp": F.sum("m").over(w), "all": F.sum("n").over(w)})
     precision, recall = F.col("tp") / F.col("all"), F.col("tp") / F.lit(float(max(n_true, 1)))
     return c.select((F.col("bin") / bins).alias("threshold"), precision.alias("precision"), recall.alias("recall"), F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0)).alias("f"))
 
 
-def similarity_histogram(pairs: DataFrame, similarity: str, bins: int = 100) -> DataFrame:
-    return pairs.groupBy(F.floor(F.col(similarity) * bins).cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+def similarity_histogram(pairs: DataFrame, similarity: str, bins: int = 100, weight: str | None = None) -> DataFrame:
+    return pairs.groupBy(F.floor(F.col(similarity) * bins).cast("bigint").alias("bin")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
 
 
 def html_to_text(c: Column) -> Column:

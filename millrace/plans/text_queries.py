@@ -39,32 +39,33 @@ def tf_idf(s, d):
     return _weights(s, d).withColumn("weight", F.round("weight", 6))
 
 
-def _sides(s, d) -> tuple[DataFrame, DataFrame]:
+def _title_pairs(s, d) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes of equal titles over the inverted index, and each article's class."""
     titles = table(s, d, "articles_half_a").where("title is not null").select(F.col("article_id").alias("id"), F.col("title").alias("t"))
-    tf = ir.term_frequencies(titles, "id", "t")
-    w = ir.tf_idf(tf, ir.inverse_frequencies(tf, titles.count()))
-    return w.where("doc % 2 = 0"), w.where("doc % 2 = 1")
+    classes = ir.copy_classes(titles, "id", "t")
+    pairs = ir.class_pairs(ir.class_weights(titles, "id", "t", classes, titles.count()))
+    return pairs, classes
 
 
 def cosine_pairs(s, d):
-    """Similar article titles, even ids against odd ones, over the inverted index."""
-    a, b = _sides(s, d)
-    return ir.cosine_join(a, b).where("similarity >= 0.9").select("doc_a", "doc_b", F.round("similarity", 6).alias("similarity"))
+    """All pairs of similar article titles."""
+    pairs, classes = _title_pairs(s, d)
+    return ir.expand_pairs(pairs.where("similarity >= 0.9"), classes).withColumn("similarity", F.round("similarity", 6))
 
 
 def precision_recall_curve(s, d):
     """Titles' similarity as evidence that two articles share their author, by threshold."""
-    a, b = _sides(s, d)
-    art = table(s, d, "articles_half_a").select("article_id", "author")
-    pairs = ir.cosine_join(a, b).withColumn("similarity", F.round("similarity", 6))
-    p = pairs.join(art.toDF("doc_a", "author_a"), "doc_a").join(art.toDF("doc_b", "author_b"), "doc_b").withColumn("same", F.coalesce(F.col("author_a") == F.col("author_b"), F.lit(False)))
-    c = ir.threshold_curve(p, "similarity", "same", 1000)
+    pairs, classes = _title_pairs(s, d)
+    art = table(s, d, "articles_half_a").where("author is not null").select(F.col("article_id").alias("doc"), "author")
+    labels = classes.join(art, "doc").groupBy("rep", "author").agg(F.count(F.lit(1)).alias("size"))
+    p = ir.same_counts(ir.pair_counts(pairs.withColumn("similarity", F.round("similarity", 6)), classes), labels)
+    c = ir.threshold_curve(p, "similarity", "m", 1000, weight="n")
     return c.select("threshold", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "f")])
 
 
 def similarity_histogram(s, d):
-    a, b = _sides(s, d)
-    return ir.similarity_histogram(ir.cosine_join(a, b).withColumn("similarity", F.round("similarity", 6)), "similarity")
+    p = ir.pair_counts(*_title_pairs(s, d)).withColumn("similarity", F.round("similarity", 6))
+    return ir.similarity_histogram(p, "similarity", weight="n")
 
 
 def biggest_record(s, d):
