@@ -8,18 +8,24 @@ from itertools import combinations
 
 import pytest
 
+from millrace.operators import textir as ir
 from millrace.plans import registry
 
 ARTICLES = [
     (2, "ann", "red tea from hills"), (4, "ann", "red tea from hills"), (6, "bob", "Red tea, from hills!"), (7, "ann", "green tea"), (9, None, "green tea cups"), (11, None, "green tea cups"),
     (12, "bob", "旅行"), (14, "bob", "旅行"), (15, "cat", "旅"), (16, "ann", None), (18, "cat", ""), (20, "cat", ""), (21, "bob", "blue cups"), (23, "cat", "one two one"), (25, "cat", "one one two"), (27, "ann", "one two two"),
 ]
+DOCUMENTS = [
+    (1, "The cats ran, the dogs ran home.", "en"), (2, "Running cats at a@b.example cost $5", "English"), (3, "cats http://c.example/x <b>jump</b> 12 times", None), (4, "Le chat noir et les CATS", "fr"),
+    (5, "旅行 tokyo 2024 旅行", "zh"), (6, "", "und"), (7, "Über cafés, naïve cats; İzmir", "de"), (8, None, "en"), (9, "cats\tcats\ncats_1 cats-2 it's the the the the the the end of it all", "EN"),
+]
 
 
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("tables")
     spark.createDataFrame(ARTICLES, "article_id bigint, author string, title string").write.parquet(f"{d}/articles_half_a.parquet")
+    spark.createDataFrame(DOCUMENTS, "doc_id bigint, text string, lang string").write.parquet(f"{d}/documents.parquet")
     return str(d)
 
 
@@ -60,3 +66,65 @@ def test_the_curve_counts_all_pairs(spark, folder):
     for t, precision in got.items():
         over = [k for k, x in sim.items() if min(math.floor(x * 100), 99) >= t]
         assert precision == round(sum(author[a] == author[b] is not None for a, b in over) / len(over), 6)
+
+
+TEXTS = {i: t for i, t, _ in DOCUMENTS if t is not None}
+
+
+def lower(t):
+    """As Java does: a dotted capital I becomes i and a combining dot, in Python too."""
+    return t.lower()
+
+
+def doc_tokens(t):
+    return re.findall("[a-z0-9_]+", lower(t))
+
+
+def doc_words():
+    return Counter(w for t in TEXTS.values() for w in re.sub(r"[^\sa-zA-Z0-9]", "", t, flags=re.ASCII).lower().split())
+
+
+def frequencies(stop=()):
+    out = {}
+    for i, t in TEXTS.items():
+        c = Counter(w for w in doc_tokens(t) if w not in stop)
+        out |= {(i, w): n / sum(c.values()) for w, n in c.items()}
+    return out
+
+
+def mail(t):
+    t = lower(t)
+    for pattern, word in ((r"<[^<>]+>", " "), (r"[0-9]+", "number"), (r"(http|https)://[^\s]*", "httpaddr"), (r"[^\s]+@[^\s]+", "emailaddr"), (r"[$]+", "dollar")):
+        t = re.sub(pattern, word, t, flags=re.ASCII)
+    return t
+
+
+def test_words_of_all_documents(spark, folder):
+    words = doc_words()
+    assert [(r["word"], r["n"]) for r in run(spark, folder, "word_count_top")] == sorted(words.items(), key=lambda x: (-x[1], x[0]))[:15]
+    assert [tuple(r) for r in run(spark, folder, "words_per_unique")] == [(len(words), round(sum(words.values()) / len(words), 4))]
+    want = Counter()
+    for w, n in words.items():
+        if re.fullmatch("[a-z]+", w):
+            want[ir.stem(w)] += n
+    assert {r["stem"]: r["n"] for r in run(spark, folder, "stem_counts")} == want
+
+
+def test_weights_of_all_documents(spark, folder):
+    tf, kept = frequencies(), frequencies(ir.STOP_WORDS)
+    df = Counter(w for _, w in kept)
+    assert {(r["doc"], r["token"]): r["tf"] for r in run(spark, folder, "term_frequency")} == {k: pytest.approx(x, abs=1e-8) for k, x in tf.items()}
+    assert {r["token"]: r["df"] for r in run(spark, folder, "token_df")} == df
+    assert {(r["doc"], r["token"]): r["weight"] for r in run(spark, folder, "tf_idf")} == {(i, w): pytest.approx(x * len(DOCUMENTS) / df[w], abs=1e-6) for (i, w), x in kept.items()}
+
+
+def test_records_of_all_documents(spark, folder):
+    assert [tuple(r) for r in run(spark, folder, "biggest_record")] == [min(((i, len(doc_tokens(t))) for i, t in TEXTS.items()), key=lambda x: (-x[1], x[0]))]
+    assert {r["doc_id"]: r["text"] for r in run(spark, folder, "mail_normalised")} == {i: t if t is None else mail(t) for i, t, _ in DOCUMENTS}
+
+
+def test_vocabulary_rows_of_all_documents(spark, folder):
+    top = [w for w, _ in sorted(doc_words().items(), key=lambda x: (-x[1], x[0]))[:200]]
+    index = {w: i for i, w in enumerate(sorted({ir.stem(w) for w in top}), 1)}
+    want = Counter(index[w] for t in TEXTS.values() for w in {ir.stem(x) for x in doc_tokens(mail(t))} if w in index)
+    assert {r["index"]: r["docs"] for r in run(spark, folder, "vocabulary_rows")} == want
