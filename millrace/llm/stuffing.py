@@ -160,6 +160,6 @@ def judge_pages(pages: DataFrame, page_id: str, text: str) -> DataFrame:
     return d.mapInArrow(lambda b: _rows(b, names), f"page_id {d.dtypes[0][1]}, n_chars bigint, stuffed_share double, n_shapes bigint, top_share double, kind string")
 
 
-def stuffed_pages(pages: DataFrame, page_id: str, text: str, share: float = 0.5, few_shapes: int = 40) -> DataFrame:
-    """The pages of which more than ``share`` is keywords, links or tags in at most ``few_shapes`` shapes."""
-    return judge_pages(pages, page_id, text).where((F.col("stuffed_share") > share) & ((F.col("n_shapes") <= few_shapes) | (F.col("top_share") > 0.3)))
+def stuffed_pages(pages: DataFrame, page_id: str, text: str, share: float = 0.5) -> DataFrame:
+    """The pages of which more than ``share`` is keywords, links or tags, in however many shapes."""
+    return judge_pages(pages, page_id, text).where(F.col("stuffed_share") > share)
