@@ -306,9 +306,10 @@ def latest_per_user(s, d):
 
 
 def forward_fill_days(s, d):
-    """Each user's last event type on every day of a fortnight."""
-    last = win.latest(table(s, d, "events").withColumn("day", F.to_date("ts")), ["user_id", "day"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "day", "event_type")
-    return win.fill_forward(last, ["user_id"], "day", F.to_date(F.lit("2024-01-14"))).select("user_id", "cal_date", "event_type")
+    """Each user's last event type on every day from the first event to the last day of the table."""
+    e = table(s, d, "events").withColumn("day", F.to_date("ts"))
+    last = win.latest(e, ["user_id", "day"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "day", "event_type")
+    return win.fill_forward(last, ["user_id"], "day", F.lit(e.agg(F.max("day")).first()[0])).select("user_id", "cal_date", "event_type")
 
 
 def roc_points(s, d):

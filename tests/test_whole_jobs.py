@@ -19,6 +19,10 @@ DOCUMENTS = [
     (1, "The cats ran, the dogs ran home.", "en"), (2, "Running cats at a@b.example cost $5", "English"), (3, "cats http://c.example/x <b>jump</b> 12 times", None), (4, "Le chat noir et les CATS", "fr"),
     (5, "旅行 tokyo 2024 旅行", "zh"), (6, "", "und"), (7, "Über cafés, naïve cats; İzmir", "de"), (8, None, "en"), (9, "cats\tcats\ncats_1 cats-2 it's the the the the the the end of it all", "EN"),
 ]
+EVENTS = [
+    (1, 7, "view", dt.datetime(2024, 1, 10, 8)), (2, 7, "click", dt.datetime(2024, 1, 10, 9)), (3, 7, "login", dt.datetime(2024, 1, 20, 9)),
+    (4, 8, "error", dt.datetime(2024, 1, 25, 0, 5)), (5, 8, "view", dt.datetime(2024, 2, 2, 23)), (6, 9, "view", dt.datetime(2024, 1, 3)),
+]
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +30,7 @@ def folder(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("tables")
     spark.createDataFrame(ARTICLES, "article_id bigint, author string, title string").write.parquet(f"{d}/articles_half_a.parquet")
     spark.createDataFrame(DOCUMENTS, "doc_id bigint, text string, lang string").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(EVENTS, "event_id bigint, user_id bigint, event_type string, ts timestamp").write.parquet(f"{d}/events.parquet")
     return str(d)
 
 
@@ -128,3 +133,16 @@ def test_vocabulary_rows_of_all_documents(spark, folder):
     index = {w: i for i, w in enumerate(sorted({ir.stem(w) for w in top}), 1)}
     want = Counter(index[w] for t in TEXTS.values() for w in {ir.stem(x) for x in doc_tokens(mail(t))} if w in index)
     assert {r["index"]: r["docs"] for r in run(spark, folder, "vocabulary_rows")} == want
+
+
+def days(first, last):
+    return [first + dt.timedelta(n) for n in range((last - first).days + 1)]
+
+
+def test_every_day_of_the_events_is_filled(spark, folder):
+    end, want = max(ts for *_, ts in EVENTS).date(), {}
+    for user in {u for _, u, *_ in EVENTS}:
+        own = sorted((ts, i, kind) for i, u, kind, ts in EVENTS if u == user)
+        want |= {(user, day): [k for ts, _, k in own if ts.date() <= day][-1] for day in days(own[0][0].date(), end)}
+    got = run(spark, folder, "forward_fill_days")
+    assert len(got) == len(want) and {(r["user_id"], r["cal_date"]): r["event_type"] for r in got} == want
