@@ -37,7 +37,7 @@ def mu2_interval(t: DataFrame, start: str, end: str) -> DataFrame:
     so_far = {c: F.coalesce(F.sum(c).over(w), F.lit(0)) for c in ("n", "s", "q")}
     d = d.select("shop_id", "cal_date", *[e.alias(c) for c, e in so_far.items()])
     mean = F.try_divide(F.col("s"), F.col("n"))
-    return d.select("shop_id", "cal_date", "n", F.coalesce(mean, F.lit(NONE)).alias("mean"), F.coalesce(F.sqrt(F.greatest(F.try_divide(F.col("q"), F.col("n")) - mean * mean, F.lit(0.0))), F.lit(NONE)).alias("sd"))
+    return d.select("shop_id", "cal_date", "n", F.coalesce(mean, F.lit(NONE)).alias("mean"), F.when(F.col("n") > 0, F.sqrt(F.greatest(F.try_divide(F.col("q"), F.col("n")) - mean * mean, F.lit(0.0)))).otherwise(NONE).alias("sd"))
 
 
 def individual_interval(t: DataFrame, end: str, start: str | None = None) -> DataFrame:

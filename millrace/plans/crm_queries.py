@@ -20,8 +20,15 @@ def lrfm_snapshot(s: SparkSession, d: str) -> DataFrame:
     return _r(crm.lrfm_snapshot(transactions(s, d), CAL), "M", places=2)
 
 
+def _span(t: DataFrame) -> tuple[str, str]:
+    """The first and the last day of the orders."""
+    low, high = t.agg(F.min("ordate"), F.max("ordate")).first()
+    return str(low), str(high)
+
+
 def lrfm_daily(s: SparkSession, d: str) -> DataFrame:
-    return _r(crm.lrfm_daily(transactions(s, d), END, START), "M", places=2)
+    t = transactions(s, d)
+    return _r(crm.lrfm_daily(t, _span(t)[1]), "M", places=2)
 
 
 def member_gap_stats(s: SparkSession, d: str) -> DataFrame:
@@ -30,11 +37,13 @@ def member_gap_stats(s: SparkSession, d: str) -> DataFrame:
 
 
 def mu2_interval_daily(s: SparkSession, d: str) -> DataFrame:
-    return _r(crm.mu2_interval(transactions(s, d), START, END), "mean", "sd")
+    t = transactions(s, d)
+    return _r(crm.mu2_interval(t, *_span(t)), "mean", "sd")
 
 
 def individual_interval_daily(s: SparkSession, d: str) -> DataFrame:
-    return _r(crm.individual_interval(transactions(s, d), END, START), "mean_interval")
+    t = transactions(s, d)
+    return _r(crm.individual_interval(t, _span(t)[1]), "mean_interval")
 
 
 def mu_mean_std(s: SparkSession, d: str) -> DataFrame:
@@ -172,7 +181,7 @@ def islands_active_days(s: SparkSession, d: str) -> DataFrame:
 
 
 def missing_days(s: SparkSession, d: str) -> DataFrame:
-    return win.missing_days(transactions(s, d).where(F.col("ordate").between(F.to_date(F.lit("1998-01-01")), F.to_date(F.lit(END)))), ["shop_id", "member_id"], "ordate")
+    return win.missing_days(transactions(s, d), ["shop_id", "member_id"], "ordate")
 
 
 def row_index(s: SparkSession, d: str) -> DataFrame:

@@ -23,6 +23,11 @@ EVENTS = [
     (1, 7, "view", dt.datetime(2024, 1, 10, 8)), (2, 7, "click", dt.datetime(2024, 1, 10, 9)), (3, 7, "login", dt.datetime(2024, 1, 20, 9)),
     (4, 8, "error", dt.datetime(2024, 1, 25, 0, 5)), (5, 8, "view", dt.datetime(2024, 2, 2, 23)), (6, 9, "view", dt.datetime(2024, 1, 3)),
 ]
+CUSTOMERS = [(1, "X"), (2, "X"), (3, "Y"), (4, "Y")]
+ORDERS = [
+    (1, 1, dt.date(1997, 12, 20), 5.0, "F", "1-URGENT"), (2, 1, dt.date(1998, 1, 2), 2.5, "F", "2-HIGH"), (3, 1, dt.date(1998, 1, 2), 1.0, "O", "2-HIGH"), (4, 1, dt.date(1998, 7, 3), 4.0, "O", "3-LOW"),
+    (5, 2, dt.date(1998, 6, 29), 8.0, "P", "1-URGENT"), (6, 2, dt.date(1998, 8, 1), 3.0, "O", "1-URGENT"), (7, 3, dt.date(1998, 3, 1), -6.0, "F", "3-LOW"), (8, 3, dt.date(1998, 3, 5), 1.0, "F", "2-HIGH"),
+]
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +36,8 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame(ARTICLES, "article_id bigint, author string, title string").write.parquet(f"{d}/articles_half_a.parquet")
     spark.createDataFrame(DOCUMENTS, "doc_id bigint, text string, lang string").write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame(EVENTS, "event_id bigint, user_id bigint, event_type string, ts timestamp").write.parquet(f"{d}/events.parquet")
+    spark.createDataFrame(CUSTOMERS, "c_custkey bigint, c_mktsegment string").write.parquet(f"{d}/customer.parquet")
+    spark.createDataFrame(ORDERS, "o_orderkey bigint, o_custkey bigint, o_orderdate date, o_totalprice double, o_orderstatus string, o_orderpriority string").write.parquet(f"{d}/orders.parquet")
     return str(d)
 
 
@@ -146,3 +153,46 @@ def test_every_day_of_the_events_is_filled(spark, folder):
         want |= {(user, day): [k for ts, _, k in own if ts.date() <= day][-1] for day in days(own[0][0].date(), end)}
     got = run(spark, folder, "forward_fill_days")
     assert len(got) == len(want) and {(r["user_id"], r["cal_date"]): r["event_type"] for r in got} == want
+
+
+SHOP = {c: f"seg^{m}" for c, m in CUSTOMERS}
+MEMBERS = {c: sorted((day, amount) for _, c2, day, amount, *_ in ORDERS if c2 == c) for c in (1, 2, 3)}
+FIRST, LAST = min(o[2] for o in ORDERS), max(o[2] for o in ORDERS)
+
+
+def gaps(own):
+    return [(b[0] - a[0]).days for a, b in zip(own, own[1:], strict=False)]
+
+
+def rows_by(spark, folder, name, *keys):
+    rows = run(spark, folder, name)
+    out = {tuple(r[k] for k in keys): tuple(r[c] for c in r.asDict() if c not in keys) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def test_members_have_a_row_for_every_day(spark, folder):
+    lrfm, interval = {}, {}
+    for c, own in MEMBERS.items():
+        for day in days(own[0][0], LAST):
+            known = [o for o in own if o[0] <= day]
+            g, last = gaps(known), known[-1][0]
+            lrfm[day, SHOP[c], c] = ((last - own[0][0]).days, (day - last).days, len(known), round(sum(a for _, a in known), 2))
+            interval[day, SHOP[c], c] = (round(sum(g) / len(g), 4) if g else -999.0, len(g) or -999, own[0][0], last)
+    assert rows_by(spark, folder, "lrfm_daily", "cal_date", "shop_id", "member_id") == lrfm
+    assert rows_by(spark, folder, "individual_interval_daily", "cal_date", "shop_id", "member_id") == interval
+
+
+def test_shops_have_a_row_for_every_day(spark, folder):
+    want = {}
+    for shop in {SHOP[c] for c in MEMBERS}:
+        for day in days(FIRST, LAST):
+            g = [x for c, own in MEMBERS.items() if SHOP[c] == shop for x in gaps([o for o in own if o[0] <= day])]
+            mean = sum(g) / len(g) if g else 0
+            want[shop, day] = (len(g), round(mean, 4), round(math.sqrt(sum((x - mean) ** 2 for x in g) / len(g)), 4)) if g else (0, -999.0, -999.0)
+    assert rows_by(spark, folder, "mu2_interval_daily", "shop_id", "cal_date") == want
+
+
+def test_all_days_without_an_order_are_missing(spark, folder):
+    want = sorted((SHOP[c], c, day) for c, own in MEMBERS.items() for day in days(own[0][0], own[-1][0]) if day not in {o[0] for o in own})
+    assert sorted(tuple(r) for r in run(spark, folder, "missing_days")) == want
