@@ -28,6 +28,7 @@ ORDERS = [
     (1, 1, dt.date(1997, 12, 20), 5.0, "F", "1-URGENT"), (2, 1, dt.date(1998, 1, 2), 2.5, "F", "2-HIGH"), (3, 1, dt.date(1998, 1, 2), 1.0, "O", "2-HIGH"), (4, 1, dt.date(1998, 7, 3), 4.0, "O", "3-LOW"),
     (5, 2, dt.date(1998, 6, 29), 8.0, "P", "1-URGENT"), (6, 2, dt.date(1998, 8, 1), 3.0, "O", "1-URGENT"), (7, 3, dt.date(1998, 3, 1), -6.0, "F", "3-LOW"), (8, 3, dt.date(1998, 3, 5), 1.0, "F", "2-HIGH"),
 ]
+LINES = [(997 * (i % 3) + user, 1 + (user * 7 + i) % 9, float(1 + (user * i) % 50)) for user in range(60) for i in range(6)]
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +39,7 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame(EVENTS, "event_id bigint, user_id bigint, event_type string, ts timestamp").write.parquet(f"{d}/events.parquet")
     spark.createDataFrame(CUSTOMERS, "c_custkey bigint, c_mktsegment string").write.parquet(f"{d}/customer.parquet")
     spark.createDataFrame(ORDERS, "o_orderkey bigint, o_custkey bigint, o_orderdate date, o_totalprice double, o_orderstatus string, o_orderpriority string").write.parquet(f"{d}/orders.parquet")
+    spark.createDataFrame(LINES, "l_orderkey bigint, l_suppkey bigint, l_quantity double").write.parquet(f"{d}/lineitem.parquet")
     return str(d)
 
 
@@ -196,3 +198,7 @@ def test_shops_have_a_row_for_every_day(spark, folder):
 def test_all_days_without_an_order_are_missing(spark, folder):
     want = sorted((SHOP[c], c, day) for c, own in MEMBERS.items() for day in days(own[0][0], own[-1][0]) if day not in {o[0] for o in own})
     assert sorted(tuple(r) for r in run(spark, folder, "missing_days")) == want
+
+
+def test_all_users_get_recommendations(spark, folder):
+    assert Counter(r["user"] for r in run(spark, folder, "als_recommend")) == {user: 3 for user in range(60)}
