@@ -59,7 +59,8 @@ def precision_recall_curve(s, d):
     art = table(s, d, "articles_half_a").where("author is not null").select(F.col("article_id").alias("doc"), "author")
     labels = classes.join(art, "doc").groupBy("rep", "author").agg(F.count(F.lit(1)).alias("size"))
     p = ir.same_counts(ir.pair_counts(pairs.withColumn("similarity", F.round("similarity", 6)), classes), labels)
-    c = ir.threshold_curve(p, "similarity", "m", 1000, weight="n")
+    n_true = art.groupBy("author").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0]
+    c = ir.threshold_curve(p, "similarity", "m", int(n_true or 0), weight="n")
     return c.select("threshold", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "f")])
 
 

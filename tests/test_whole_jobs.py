@@ -202,3 +202,12 @@ def test_all_days_without_an_order_are_missing(spark, folder):
 
 def test_all_users_get_recommendations(spark, folder):
     assert Counter(r["user"] for r in run(spark, folder, "als_recommend")) == {user: 3 for user in range(60)}
+
+
+def test_recall_is_of_all_true_pairs(spark, folder):
+    author, sim = {i: a for i, a, _ in ARTICLES}, title_similarities()
+    true = [k for k in combinations(sorted(author), 2) if author[k[0]] == author[k[1]] is not None]
+    for r in run(spark, folder, "precision_recall_curve"):
+        over = [k for k, x in sim.items() if min(math.floor(x * 100), 99) >= round(r["threshold"] * 100)]
+        p, q = sum(k in true for k in over) / len(over), sum(k in true for k in over) / len(true)
+        assert (r["recall"], r["f"]) == (round(q, 6), round(2 * p * q / (p + q), 6) if p + q else 0)
