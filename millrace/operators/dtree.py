@@ -43,7 +43,8 @@ def grow(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 4,
 
     A node splits while its best gain ratio is above 0 and below 1 and its depth below ``max_depth``; a node with
     ratio 1 splits into pure leaves; ``rules`` are the values of its variable. Each level reads the table once; of
-    it only the best splits (at most ``max_nodes``) come to the driver. Paths are kept whole, so branches don't mix.
+    it only the best splits come to the driver. A level of more than ``max_nodes`` nodes is a ValueError, none is left
+    out. Paths are kept whole, so branches don't mix.
     """
     rows = df.select(*features, label).withColumn("node", F.lit("root"))
     out: list[dict] = []
@@ -51,7 +52,9 @@ def grow(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 4,
         long = to_long(rows, features, label)
         best = best_split(gain_ratios(long))
         values = long.join(best.select("node", "var"), ["node", "var"]).groupBy("node", "var").agg(F.array_sort(F.collect_set("value")).alias("rules"))
-        found = best.join(values, ["node", "var"]).orderBy("node").limit(max_nodes).collect()
+        found = best.join(values, ["node", "var"]).orderBy("node").limit(max_nodes + 1).collect()
+        if len(found) > max_nodes:
+            raise ValueError(f"level {level} of the tree has more than {max_nodes} nodes; raise max_nodes or lower max_depth")
         if not found:
             break
         grows = []
@@ -61,11 +64,9 @@ def grow(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 4,
                 grows.append((r["node"], r["var"]))
         if not grows:
             break
-        nxt = None
-        for node, var in grows:
-            step = F.when(F.col("node") == node, F.concat(F.lit(f"{node}/{var}="), F.coalesce(F.col(var).cast("string"), F.lit("null"))))
-            nxt = step if nxt is None else F.coalesce(nxt, step)
-        rows = rows.withColumn("node", nxt).where(F.col("node").isNotNull())
+        splits = df.sparkSession.createDataFrame(grows, "node string, _var string")
+        value = F.coalesce(*[F.when(F.col("_var") == c, F.col(c).cast("string")) for c in features], F.lit("null"))
+        rows = rows.join(F.broadcast(splits), "node").withColumn("node", F.concat("node", F.lit("/"), "_var", F.lit("="), value)).drop("_var")
     return out
 
 

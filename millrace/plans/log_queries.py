@@ -171,10 +171,16 @@ def weather(s: SparkSession) -> DataFrame:
     return s.createDataFrame(_WEATHER, WEATHER_COLUMNS)
 
 
+_ORDER_FEATURES = ["o_orderpriority", "year", "month"]
+
+
+def _dated_orders(s, d) -> DataFrame:
+    return table(s, d, "orders").withColumn("year", F.year("o_orderdate").cast("string")).withColumn("month", F.month("o_orderdate").cast("string"))
+
+
 def c45_gain_ratio(s, d):
     """Gain ratios of order columns for the order's status at the root."""
-    o = table(s, d, "orders").withColumn("year", F.year("o_orderdate").cast("string")).withColumn("month", F.month("o_orderdate").cast("string"))
-    g = dtree.gain_ratios(dtree.to_long(o, ["o_orderpriority", "year", "month"], "o_orderstatus"))
+    g = dtree.gain_ratios(dtree.to_long(_dated_orders(s, d), _ORDER_FEATURES, "o_orderstatus"))
     return g.select("var", "n", *[F.round(c, 8).alias(c) for c in ("outcome", "conditional", "split_info", "gain_ratio")])
 
 
@@ -184,7 +190,8 @@ def c45_counts(s, d):
 
 
 def c45_tree(s, d):
-    nodes = dtree.grow(weather(s), WEATHER_COLUMNS[:-1], "play")
+    """The tree of the order's status over all orders."""
+    nodes = dtree.grow(_dated_orders(s, d), _ORDER_FEATURES, "o_orderstatus")
     return s.createDataFrame([(n["level"], n["node"], n["var"], round(n["gain_ratio"], 10), n["n"], ",".join(n["rules"])) for n in nodes], "level bigint, node string, var string, gain_ratio double, n bigint, rules string")
 
 

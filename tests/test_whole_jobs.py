@@ -8,7 +8,7 @@ from itertools import combinations
 
 import pytest
 
-from millrace.operators import textir as ir
+from millrace.operators import dtree, textir as ir
 from millrace.plans import registry
 
 ARTICLES = [
@@ -211,3 +211,39 @@ def test_recall_is_of_all_true_pairs(spark, folder):
         over = [k for k, x in sim.items() if min(math.floor(x * 100), 99) >= round(r["threshold"] * 100)]
         p, q = sum(k in true for k in over) / len(over), sum(k in true for k in over) / len(true)
         assert (r["recall"], r["f"]) == (round(q, 6), round(2 * p * q / (p + q), 6) if p + q else 0)
+
+
+def grown(rows, features, level=0, node="root"):
+    """Nodes of the tree of ``rows`` (dicts with ``label``): the best gain ratio splits, of ties the first name."""
+
+    def entropy(values):
+        return -sum(n / len(values) * math.log2(n / len(values)) for n in Counter(values).values())
+
+    def ratio(c):
+        parts = [[r["label"] for r in rows if r[c] == v] for v in {r[c] for r in rows}]
+        split = entropy([r[c] for r in rows])
+        return (entropy([r["label"] for r in rows]) - sum(len(p) / len(rows) * entropy(p) for p in parts)) / split if split > 0 else 0.0
+
+    var = min(features, key=lambda c: (-round(ratio(c), 12), c))
+    g, values = ratio(var), sorted({r[var] for r in rows})
+    out = {(level, node): (var, pytest.approx(g, abs=1e-9), len(rows), ",".join(values))}
+    if g > 1e-12 and abs(g - 1) > 1e-12 and level < 4:
+        for v in values:
+            out |= grown([r for r in rows if r[var] == v], features, level + 1, f"{node}/{var}={v}")
+    return out
+
+
+def test_the_tree_is_of_all_orders(spark, folder):
+    rows = [{"label": o[4], "o_orderpriority": o[5], "year": str(o[2].year), "month": str(o[2].month)} for o in ORDERS]
+    assert rows_by(spark, folder, "c45_tree", "level", "node") == grown(rows, ["o_orderpriority", "year", "month"])
+
+
+def test_no_branch_of_a_wide_level_is_left_out(spark):
+    rows = [{"a": str(i // 4), "b": str(i // 2 % 2), "label": str((i + i // 8) % 3)} for i in range(120)]
+    want = grown(rows, ["a", "b"])
+    assert max(Counter(level for level, _ in want).values()) > 20
+    d = spark.createDataFrame(rows)
+    nodes = dtree.grow(d, ["a", "b"], "label")
+    assert {(n["level"], n["node"]): (n["var"], n["gain_ratio"], n["n"], ",".join(n["rules"])) for n in nodes} == want
+    with pytest.raises(ValueError, match="more than 20 nodes"):
+        dtree.grow(d, ["a", "b"], "label", max_nodes=20)
