@@ -14,9 +14,13 @@ _BINS = 4096
 _MOST = 8.0
 
 
+class NotSolved(RuntimeError):
+    """The dual did not come within its tolerance."""
+
+
 @dataclass
 class Source:
-    """What is to come from a source: ``goal`` tokens; ``a`` and ``b`` give a document of ``t`` tokens the rate ``min(cap, exp(a + b * t / mean))``."""
+    """What is to come from a source: ``goal`` tokens; the multiplier ``b`` gives a document of ``t`` tokens the rate ``min(cap, exp(b * t / mean))``."""
 
     share: float
     cap: int
@@ -24,8 +28,9 @@ class Source:
     tokens: int = 0
     goal: float = 0.0
     full: bool = False
-    a: float = 0.0
     b: float = 0.0
+    low: float = -math.inf
+    high: float = math.inf
     steps: int = 0
 
     @property
@@ -58,59 +63,49 @@ def _pick(values: dict[str, float], key: str) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col(key)]
 
 
-def balance(histogram: DataFrame, sources: dict[str, Source], tolerance: float = 1e-9, max_steps: int = 60, keep_mean_length: bool = True) -> None:
-    """Newton steps on the convex dual of entropy balancing, for all sources at once.
+def balance(histogram: DataFrame, sources: dict[str, Source], tolerance: float = 1e-9, max_steps: int = 100) -> None:
+    """Newton steps on the convex dual of entropy balancing, the multipliers of all sources together.
 
-    ``histogram`` has ``source, n_tokens, n``, which is all that the dual needs of the documents. Rates ``w`` have
-    the least relative entropy to 1 (each document once) of all with ``sum w t = goal`` and, with
-    ``keep_mean_length``, ``sum w = goal / mean`` (without it ``a`` stays 0 and rates tilt with length), never above the cap. Gradient and Hessian of every
-    source come from one distributed aggregate a step; the steps themselves, 2 x 2, are taken here.
+    ``histogram`` has ``source, n_tokens, n``, which is all that the dual needs of the documents. Rates ``w`` have the
+    least relative entropy to 1 (each document once) of all with ``sum w t = goal`` for every source and never lie
+    above its cap, so they tilt exponentially with a document's tokens. A token constraint touches no other source's
+    documents: the dual's Hessian is diagonal, and one distributed aggregate a step gives it and the gradient whole.
+    A step that leaves the interval in which the gradient changes its sign is replaced by the interval's middle, so
+    steps always come nearer. Raises ``NotSolved`` if a source is still off by more than ``tolerance`` in the end.
     """
-    active = {k: s for k, s in sources.items() if not s.full}
-    open_ = dict(active)
+    open_ = {k: s for k, s in sources.items() if not s.full}
     for _ in range(max_steps):
         if not open_:
             return
         pick = lambda name: _pick({k: float(getattr(s, name)) for k, s in open_.items()}, "source")  # noqa: E731, B023
         t = F.col("n_tokens") / pick("mean")
-        x = pick("a") + pick("b") * t
-        top = F.log(pick("cap"))
+        x, top = pick("b") * t, F.log(pick("cap"))
         w = F.exp(F.least(x, top))
         bend = F.when(x <= top, w).otherwise(0.0)
         n = F.col("n")
-        rows = (
-            histogram.where(F.col("source").isin(*open_))
-            .groupBy("source")
-            .agg(F.sum(n * w), F.sum(n * w * t), F.sum(n * bend), F.sum(n * bend * t), F.sum(n * bend * t * t))
-            .collect()  # one row a source
-        )
-        for name, s0, s1, h00, h01, h11 in rows:
+        rows = histogram.where(F.col("source").isin(*open_)).groupBy("source").agg(F.sum(n * w * t), F.sum(n * bend * t * t)).collect()  # one row a source
+        for name, given, slope in rows:
             s = open_[name]
             want = s.goal / s.mean
-            g0, g1 = s0 - want, s1 - want
+            off = given - want
             s.steps += 1
-            if abs(g1) <= tolerance * want and (abs(g0) <= tolerance * want or not keep_mean_length):
+            if abs(off) <= tolerance * want:
                 del open_[name]
                 continue
-            if not keep_mean_length:
-                step = -g1 / h11 if h11 > 1e-9 * s1 else -math.copysign(1.0, g1)
-                s.b += max(-1.0, min(1.0, step))
-                continue
-            if h00 <= 1e-9 * s0:  # nearly all documents are beyond the cap: back to where the rates bend
-                s.a -= math.copysign(1.0, g0)
-                continue
-            damp = 1e-12 * (h00 + h11) + 1e-300
-            h00, h11 = h00 + damp, h11 + damp
-            det = h00 * h11 - h01 * h01
-            if det <= 1e-9 * h00 * h11:  # all documents of one length: one constraint is the other
-                da, db = -g1 / max(h01, 1e-300), 0.0
+            if off > 0:
+                s.high = s.b
             else:
-                da, db = -(h11 * g0 - h01 * g1) / det, -(h00 * g1 - h01 * g0) / det
-            scale = min(1.0, 1.0 / max(abs(da), abs(db), 1e-300))
-            s.a, s.b = s.a + scale * da, s.b + scale * db
+                s.low = s.b
+            step = s.b - off / slope if slope > 0 else math.copysign(math.inf, -off)
+            if not s.low < step < s.high:
+                wide = 2 * abs(s.b) + 1
+                step = (max(s.low, s.b - wide) + min(s.high, s.b + wide)) / 2
+            s.b = max(s.b - 4 * (abs(s.b) + 1), min(s.b + 4 * (abs(s.b) + 1), step))
+    if open_:
+        raise NotSolved(f"no rates after {max_steps} steps for {', '.join(f'{k} ({s.goal:.0f} of {s.tokens} tokens, at most {s.cap} times)' for k, s in sorted(open_.items()))}")
 
 
-def draw(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 7, max_sources: int = 10_000, keep_mean_length: bool = True) -> tuple[DataFrame, dict[str, Source]]:
+def draw(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 7, max_sources: int = 1000) -> tuple[DataFrame, dict[str, Source]]:
     """``id, source, n_tokens, copies`` of the documents drawn (``copies`` at least 1), and what was solved for each source.
 
     ``docs`` has ``id, source, n_tokens``; ``targets`` has ``source, target_share, max_repeat`` (unique sources).
@@ -132,12 +127,12 @@ def draw(docs: DataFrame, targets: DataFrame, total: float | None = None, seed:
         sources[name].docs, sources[name].tokens = n, tokens
     set_goals(sources, float(total) if total is not None else float(sum(s.tokens for s in sources.values() if s.share > 0)))
     histogram = histogram.checkpoint()
-    balance(histogram, sources, keep_mean_length=keep_mean_length)
+    balance(histogram, sources)
     used = {k: s for k, s in sources.items() if s.goal > 0}
     if not used:
         return d.where("false").select("*", F.lit(0).cast("bigint").alias("copies")), sources
     value = lambda f: _pick({k: float(f(s)) for k, s in used.items()}, "source")
-    rate = F.when(value(lambda s: s.full) == 1.0, value(lambda s: s.cap)).otherwise(F.least(value(lambda s: s.cap), F.exp(value(lambda s: s.a) + value(lambda s: s.b) * F.col("n_tokens") / value(lambda s: s.mean))))
+    rate = F.when(value(lambda s: s.full) == 1.0, value(lambda s: s.cap)).otherwise(F.least(value(lambda s: s.cap), F.exp(F.least(value(lambda s: s.b) * F.col("n_tokens") / value(lambda s: s.mean), F.log(value(lambda s: s.cap))))))
     d = d.where(F.col("source").isin(*used)).withColumn("rate", rate).withColumn("whole", F.floor(F.col("rate") + 1e-9).cast("bigint"))
     part = F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0))
     u = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
