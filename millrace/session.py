@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -24,12 +27,20 @@ def build_session(app: str = "millrace", master: str | None = None, shuffle_part
     return b.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/millrace-checkpoints") -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; the fallback serves sessions without one (tests)."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a session on one machine (tests) gets a temporary folder; on a cluster that is an error, for
+    executors would write to folders that others don't see.
+    """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or fallback
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
     sc.setCheckpointDir(folder)
     return folder
