@@ -44,8 +44,8 @@ def p1_runs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _best_items(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "itemrevenue").select("cal_date", "shop_id", "item_id", "item_qt", "item_amt").where("item_qt is not null").distinct()
-    return top_n(rows, ["cal_date", "shop_id"], "item_qt", [F.col("item_amt").desc_nulls_last(), F.col("item_id").asc_nulls_last()], TOP)
+    rows = table(spark, d, "itemrevenue").select("cal_date", "shop_id", "item_id", "item_qt", "item_amt")
+    return top_n(rows, ["cal_date", "shop_id"], "item_qt", [F.col("item_amt").desc_nulls_last(), F.col("item_id").asc_nulls_last()], TOP, distinct=True)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
