@@ -10,7 +10,6 @@ from millrace.llm.topn import top_n
 from millrace.plans.bounds import broadcast_if_small
 from millrace.plans.tables import table
 
-DAY_MILLIS = 86_400_000
 TOP = 10
 
 
@@ -20,27 +19,34 @@ def action_key(action: Column) -> Column:
     return F.trim(F.regexp_replace(bare, r"[^a-z0-9]+", "."), F.lit("."))
 
 
-def _action_runs(spark: SparkSession, d: str, min_rows: int) -> DataFrame:
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    """The log's lines with their author, instant and action's key.
+
+    Copies of a line that are equal stay in: they share author, instant and id, by which the runs count them once. If
+    copies of some line differ (which a combined hash of each line tells), lines are taken by id and the least copy counts.
+    """
+    raw = table(spark, d, "userlog").where("log_id is not null")
+    told = F.xxhash64("author", "op_at", "op_date", "action")
+    differ = not raw.groupBy("log_id").agg(F.min(told).alias("least"), F.max(told).alias("most")).where("least <> most").isEmpty()
+    log = raw.select("log_id", clean_text(F.col("author")).alias("author"), F.coalesce(epoch_millis(F.col("op_at")), iso_millis(F.col("op_date"))).alias("at"), action_key(clean_text(F.col("action"))).alias("key")).where("author is not null and at is not null")
+    return log.groupBy("log_id").agg(F.min(F.struct("author", "at", "key")).alias("x")).select("log_id", "x.*") if differ else log
+
+
+def _action_runs(spark: SparkSession, d: str, min_rows: int) -> tuple[DataFrame, DataFrame]:
     names = table(spark, d, "action_names").select(action_key(F.col("action_name")).alias("key"), "action_id", "action_name").where("key is not null").groupBy("key").agg(F.min(F.struct("action_id", "action_name")).alias("named"))
-    log = (
-        table(spark, d, "userlog")
-        .select("log_id", clean_text(F.col("author")).alias("author"), F.coalesce(epoch_millis(F.col("op_at")), iso_millis(F.col("op_date"))).alias("at"), action_key(clean_text(F.col("action"))).alias("key"))
-        .where("author is not null and at is not null and log_id is not null")
-        .groupBy("log_id")
-        .agg(F.min(F.struct("author", "at", "key")).alias("x"))
-        .select("log_id", "x.*")
-    )
-    log = log.join(broadcast_if_small(names), "key", "left").select("log_id", "author", "at", "named")
-    return collapse_runs(log, "author", "at", "log_id", "named", DAY_MILLIS, min_rows)
+    log = _lines(spark, d).join(broadcast_if_small(names.select("key", "named.action_id")), "key", "left")
+    return collapse_runs(log, "author", "at", "log_id", "action_id", min_rows), names.select("named.*")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return _action_runs(spark, d, 2).select(F.col("entity").alias("author"), F.col("first_id").alias("first_log_id"), F.col("last_id").alias("last_log_id"))
+    return _action_runs(spark, d, 2)[0].select(F.col("entity").alias("author"), F.col("first_id").alias("first_log_id"), F.col("last_id").alias("last_log_id"))
 
 
 def p1_runs(spark: SparkSession, d: str) -> DataFrame:
     """Every run, those of one row too, with its length and its duration in milliseconds."""
-    return _action_runs(spark, d, 1).select(F.col("entity").alias("author"), F.col("value.action_name").alias("action"), F.col("first_id").alias("first_log_id"), F.col("last_id").alias("last_log_id"), "duration", F.col("n").cast("bigint").alias("n"))
+    runs, names = _action_runs(spark, d, 1)
+    runs = runs.join(broadcast_if_small(names), F.col("value") == F.col("action_id"))
+    return runs.select(F.col("entity").alias("author"), F.col("action_name").alias("action"), F.col("first_id").alias("first_log_id"), F.col("last_id").alias("last_log_id"), "duration", F.col("n").cast("bigint").alias("n"))
 
 
 def _best_items(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+_COLUMNS = ["entity", "value", "n", "start", "end", "first_id", "last_id"]
+
+
+def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Where two arrays agree, nulls with nulls."""
+    return pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+
+
+class _Stream:
+    """The runs of a sorted partition, batch by batch; the one that may still go on is kept back."""
+
+    def __init__(self) -> None:
+        self.open: list[pa.Array] | None = None  # the columns of the run so far, one row
+        self.place = 0  # runs given out
+
+    def feed(self, entity: pa.Array, start: pa.Array, row_id: pa.Array, value: pa.Array) -> list[pa.Array] | None:
+        """The runs that this batch closes."""
+        before = [pa.concat_arrays([o, a[:-1]]) if self.open else a[:-1] for o, a in zip(self.open_ends(), (entity, start, row_id, value), strict=True)]
+        skip = 0 if self.open else 1
+        e, s, i, v = (np.concatenate((np.zeros(skip, bool), _same(a[skip:], b))) for a, b in zip((entity, start, row_id, value), before, strict=True))
+        keep = np.flatnonzero(~(e & s & i))  # a row sent twice stands next to its copy
+        if not len(keep):
+            return None
+        at = pa.array(keep)
+        entity, start, row_id, value = (a.take(at) for a in (entity, start, row_id, value))
+        # Copies may differ in their value; the one kept is compared with the row kept before it.
+        v[keep[1:]] = _same(value[1:], value[:-1])
+        if self.open:
+            v[keep[0]] = _same(value[:1], self.open[1])[0]
+        bound = np.flatnonzero(~(e & v)[keep])  # the events that differ from their predecessor
+        ends = np.append(bound[1:], len(keep)) - 1  # the row before the next boundary
+        head = bound[0] if len(bound) else len(keep)
+        if head:
+            o = self.open
+            self.open = [o[0], o[1], pa.array([o[2][0].as_py() + int(head)], pa.int64()), o[3], start[head - 1 : head], o[5], row_id[head - 1 : head]]
+        if not len(bound):
+            return None
+        first, last = pa.array(bound), pa.array(ends)
+        runs = [entity.take(first), value.take(first), pa.array(ends - bound + 1, pa.int64()), start.take(first), start.take(last), row_id.take(first), row_id.take(last)]
+        closed = [pa.concat_arrays([o, r[:-1]]) if self.open else r[:-1] for o, r in zip(self.open or runs, runs, strict=True)]
+        self.open = [r[-1:] for r in runs]
+        return closed
+
+    def open_ends(self) -> list:
+        o = self.open
+        return [o[0], o[4], o[6], o[1]] if o else [None] * 4
+
+
+def _local_runs(batches: Iterator[pa.RecordBatch], min_rows: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    stream, begun = _Stream(), False
+
+    def give(cols: list[pa.Array], last: bool) -> pa.RecordBatch:
+        nonlocal begun
+        edge = np.zeros(len(cols[0]), bool)
+        if len(edge) and not begun:
+            edge[0] = begun = True
+        if last:
+            edge[-1] = True
+        kept = pa.array(np.flatnonzero(edge | ((cols[2].to_numpy() >= min_rows) & ~cols[1].is_null().to_numpy(zero_copy_only=False))))
+        return pa.RecordBatch.from_arrays([c.take(kept) for c in [*cols, pa.array(edge)]], names=names)
+
+    for b in batches:
+        if b.num_rows and (closed := stream.feed(*b.columns)) is not None and len(closed[0]):
+            yield give(closed, False)
+    if stream.open is not None:
+        yield give(stream.open, True)
 
 
 def _join_runs(df: DataFrame, keys: list[str], never: Column) -> DataFrame:
@@ -30,36 +102,36 @@ def _join_runs(df: DataFrame, keys: list[str], never: Column) -> DataFrame:
             "n": pick(F.col("n"), F.col("_np") - F.col("_pos"), F.col("_np") - F.col("_pos") + F.col("_nn")),
             "end": pick(F.col("end"), F.col("_npe"), F.col("_ne")),
             "last_id": pick(F.col("last_id"), F.col("_npi"), F.col("_ni")),
-            "_tail": ~F.coalesce(F.col("_nb"), F.lit(False)),
         }
     )
 
 
-def collapse_runs(events: DataFrame, entity: str, instant: str, row_id: str, value: str, block: int, min_rows: int = 1) -> DataFrame:
+def in_order(events: DataFrame, entity: str, instant: str, row_id: str, value: str) -> DataFrame:
+    """``entity, start, id, value`` of the events that have an entity and an instant, in ranges of about equal size, sorted."""
+    rows = events.select(F.col(entity).alias("entity"), F.col(instant).cast("bigint").alias("start"), F.col(row_id).alias("id"), F.col(value).alias("value")).where("entity is not null and start is not null")
+    return rows.repartitionByRange("entity", "start", "id").sortWithinPartitions("entity", "start", "id", F.col("value").asc_nulls_last())
+
+
+def collapse_runs(events: DataFrame, entity: str, instant: str, row_id: str, value: str, min_rows: int = 1) -> DataFrame:
     """One row per run of consecutive events with one value: ``entity, value, first_id, last_id, start, end, duration, n``.
 
     Each entity's events are ordered by ``instant`` (a whole number) and ``row_id``. A null value ends a run and
-    belongs to none. Rows with a null entity or instant are left out; ties of instant fall back on ``row_id``, which
-    should be unique (repeated ids count as rows of their own); an empty table gives no runs; other columns of
-    ``events`` don't matter. Runs of fewer than ``min_rows`` rows are left out.
+    belongs to none. Rows with a null entity or instant are left out; rows with the same entity, instant and
+    ``row_id`` count once (with the least value that isn't null); an empty table gives no runs; other columns of
+    ``events`` don't matter. Runs of fewer than ``min_rows`` rows are left out. ``entity``, ``row_id`` and ``value``
+    are of plain types (numbers, texts).
 
-    An entity's time is cut into blocks of ``block`` units, so even an entity with a third of all rows is spread.
-    Runs are found in each block; only the first and last run of a block can go on in the next one, so just those
-    meet in one place per entity, while the others are passed through under a key of their own.
+    Events are sorted into ranges of about equal size, so an entity with a third of all rows, even within one day or
+    one instant, is spread over as many tasks as it needs. Each range is read as a stream: rows that differ from
+    their predecessor are boundaries, the next boundary's position gives the count and the row before it the end.
+    Only the first and the last run of a range can go on elsewhere; those two meet their entity's others in a window,
+    the rest is passed through it under a key of its own.
     """
-    rows = events.select(
-        F.col(entity).alias("entity"),
-        F.floor(F.col(instant) / block).alias("block"),
-        F.col(value).alias("value"),
-        F.lit(1).cast("bigint").alias("n"),
-        F.col(instant).cast("bigint").alias("start"),
-        F.col(instant).cast("bigint").alias("end"),
-        F.col(row_id).alias("first_id"),
-        F.col(row_id).alias("last_id"),
-    ).where("entity is not null and start is not null")
-    cols = ["entity", "block", "value", "n", "start", "end", "first_id", "last_id"]
-    local = _join_runs(rows, ["entity", "block"], F.lit(False)).withColumn("edge", (F.col("_pos") == 0) | F.col("_tail"))
-    local = local.where(F.col("edge") | ((F.col("n") >= min_rows) & F.col("value").isNotNull())).select(*cols, F.when(~F.col("edge"), F.col("block")).alias("part"))
+    rows = in_order(events, entity, instant, row_id, value)
+    kind = {f.name: f.dataType for f in rows.schema}
+    out = T.StructType([T.StructField(c, {"n": T.LongType(), "end": kind["start"], "first_id": kind["id"], "last_id": kind["id"]}.get(c) or kind[c]) for c in _COLUMNS] + [T.StructField("edge", T.BooleanType())])
+    names = out.fieldNames()
+    local = rows.mapInArrow(lambda batches: _local_runs(batches, min_rows, names), out).withColumn("range", F.spark_partition_id()).withColumn("part", F.when(~F.col("edge"), F.col("range")))
     w = Window.partitionBy("entity", "part").orderBy("start", "first_id")
-    met = _join_runs(local, ["entity", "part"], F.col("part").isNotNull() | F.coalesce(F.lag("block").over(w) == F.col("block"), F.lit(False)))
+    met = _join_runs(local, ["entity", "part"], F.col("part").isNotNull() | F.coalesce(F.lag("range").over(w) == F.col("range"), F.lit(False)))
     return met.where((F.col("n") >= min_rows) & F.col("value").isNotNull()).select("entity", "value", "first_id", "last_id", "start", "end", (F.col("end") - F.col("start")).alias("duration"), "n")

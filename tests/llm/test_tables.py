@@ -1,10 +1,11 @@
 import random
 from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from millrace.llm.queries_tables import action_key
-from millrace.llm.runs import collapse_runs
+from millrace.llm.runs import _local_runs, collapse_runs, in_order
 from millrace.llm.topn import score_bin, top_n
 
 
@@ -22,20 +23,41 @@ def brute_runs(rows, least):
 SCHEMA = "entity string, start bigint, id bigint, block string, value string"
 
 
-def test_runs_match_brute_force_across_blocks(spark):
+def test_runs_match_brute_force_across_ranges(spark):
     random.seed(2)
-    for least, block in ((1, 10), (2, 10), (1, 1000), (3, 1)):
+    for least in (1, 2, 3):
         rows = [(random.choice(["hot", "hot", "hot", "b", None]), random.choice([random.randint(-20, 200), random.randint(0, 30), None]), i, random.choice(["x", "x", "x", "y", None]), "other") for i in range(400)]
-        df = spark.createDataFrame(rows, SCHEMA)
-        got = sorted(tuple(r) for r in collapse_runs(df, "entity", "start", "id", "block", block, least).collect())
+        df = spark.createDataFrame(rows + rows[:50], SCHEMA)
+        got = sorted(tuple(r) for r in collapse_runs(df, "entity", "start", "id", "block", least).collect())
         assert got == brute_runs(rows, least)
 
 
-def test_long_run_over_many_blocks_and_empty(spark):
+def test_streams_of_any_batches():
+    random.seed(12)
+    for size in (1, 2, 3, 7, 100):
+        rows = sorted((random.choice("ab"), random.randint(0, 9), random.randint(0, 3), random.choice(["x", "x", "y"])) for _ in range(60))
+        once = {r[:3]: r for r in reversed(rows)}
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k : k + size], strict=True)], names=list("abcd")) for k in range(0, 60, size)]
+        got = [tuple(r.values())[:7] for b in _local_runs(iter(batches), 1, ["entity", "value", "n", "start", "end", "first_id", "last_id", "edge"]) for r in b.to_pylist()]
+        want = [(w, v, n, s, e, f, k) for w, v, f, k, s, e, _, n in brute_runs([(a, t, i, v) for a, t, i, v in once.values()], 1)]
+        assert sorted(got) == sorted(want)
+
+
+def test_one_author_in_one_day_is_split_over_tasks(spark):
+    rows = [("hot", 1_000 + k // 50, k, "x" if k % 97 else "y", None) for k in range(8_000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these few rows would fit one task
+    sizes = [r[1] for r in in_order(df, "entity", "start", "id", "block").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 4_000
+    assert sorted(tuple(r) for r in collapse_runs(df, "entity", "start", "id", "block").collect()) == brute_runs(rows, 1)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_one_long_run_and_empty(spark):
     df = spark.createDataFrame([("a", t, t, "x", None) for t in range(0, 1000, 3)], SCHEMA)
-    r = collapse_runs(df, "entity", "start", "id", "block", 10).collect()
+    r = collapse_runs(df, "entity", "start", "id", "block").collect()
     assert len(r) == 1 and r[0]["n"] == 334 and r[0]["duration"] == 999
-    assert collapse_runs(df.where("false"), "entity", "start", "id", "block", 10).count() == 0
+    assert collapse_runs(df.where("false"), "entity", "start", "id", "block").count() == 0
 
 
 def test_action_spellings(spark):
