@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -198,3 +199,10 @@ def all_of(rules: dict) -> Column:
     """Conjunction of equalities; rules that are empty, null or say ``NULL`` are skipped."""
     used = [F.col(k) == v for k, v in rules.items() if v not in (None, "", "NULL")]
     return reduce(lambda a, b: a & b, used, F.lit(True))
+
+
+def row_hashes(columns: Sequence[str]) -> list[Column]:
+    """Two hashes of 64 bits that tell rows apart, also by which of their values are null."""
+    own = [F.col(f"`{c}`") for c in columns]
+    absent = [c.isNull() for c in own]
+    return [F.xxhash64(*own, *absent), F.xxhash64(F.lit(1), *absent, *reversed(own))]

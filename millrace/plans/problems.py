@@ -21,9 +21,9 @@ TOLERANCE = 0.01 + 1e-9
 
 
 def _sessions(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "userlog_ec").withColumns({"_day": F.unix_date(parse_day(F.col("dates"))), "_second": parse_second_of_day(F.col("time")), "_who": F.lower(clean_text(F.col("eruid")))})
-    rows = rows.where("_day is not null and _second is not null and _who is not null").distinct()
-    s = sessionize(rows, F.col("_who"), F.col("_day").cast("bigint") * 86_400 + F.col("_second"), IDLE_SECONDS)
+    rows = table(spark, d, "userlog_ec")
+    second = F.unix_date(parse_day(F.col("dates"))).cast("bigint") * 86_400 + parse_second_of_day(F.col("time"))
+    s = sessionize(rows, F.lower(clean_text(F.col("eruid"))), second, IDLE_SECONDS, once=rows.columns)
     stamp = lambda c: F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd HH:mm:ss")
     return s.select(F.col("entity").alias("eruid"), stamp("start_second").alias("start_at"), stamp("end_second").alias("end_at"), F.col("n_rows").cast("bigint"), "duration")
 

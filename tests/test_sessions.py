@@ -1,9 +1,11 @@
 import random
 
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.sessions import close_bitmap, runs_of, sessionize
+import numpy as np
+from millrace.operators.sessions import _sessions, close_bitmaps, runs_of, sessionize
 
 
 def brute(times, gap):
@@ -19,13 +21,29 @@ def brute(times, gap):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 300), min_size=1, max_size=30), st.integers(1, 40))
 def test_closing_joins_exactly_what_is_near(times, gap):
-    bits = 0
+    x = np.zeros((2, 6), np.uint64)
     for t in times:
-        bits |= 1 << t
-    first, last = runs_of(close_bitmap(bits, gap))
+        x[1, t // 64] |= np.uint64(1 << (t % 64))
+    row, first, last = runs_of(close_bitmaps(x, gap))
+    assert set(row.tolist()) == {1}
     assert list(zip(first.tolist(), last.tolist(), strict=True)) == [(a, b) for a, b, _ in brute(set(times), gap)]
 
 
+def test_streams_of_any_batches():
+    random.seed(5)
+    cells = sorted({(random.choice("abc"), random.randint(0, 4), random.randint(0, 99)) for _ in range(200)})
+    rows = [(*c, random.randint(1, 3)) for c in cells]
+    want = [(e, d, *x) for e, d in sorted({c[:2] for c in cells}) for x in brute([s for a, b, s, n in rows if (a, b) == (e, d) for _ in range(n)], 9)]
+    for size in (1, 2, 7, 50, 500):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k : k + size], strict=True)], names=list("edsn")) for k in range(0, len(rows), size)]
+        assert [tuple(r.values()) for b in _sessions(iter(batches), 9, ["e", "c", "s", "t", "n"]) for r in b.to_pylist()] == want
+
+
+def test_equal_rows_count_once(spark):
+    df = spark.createDataFrame([("a", 5, None, "x"), ("a", 5, None, "x"), ("a", 5, "x", None), ("a", 9, "x", None)], "who string, t bigint, p string, q string")
+    assert [r["n_rows"] for r in sessionize(df, F.col("who"), F.col("t"), once=df.columns).collect()] == [3]
+
+
 def test_sessions_match_brute_force_across_chunks(spark):
     random.seed(1)
     rows = [(random.choice("abc"), random.randint(0, 4000), "x") for _ in range(400)] + [("hot", t, "x") for t in range(0, 3000, 7)] * 3
