@@ -30,7 +30,7 @@ def top_n(df: DataFrame, groups: list[str], score: str, ties: list[Column], n: i
     bin_, n_, above, cut_, salt, places, key = (f"{p}{x}" for x in ("bin", "n", "above", "cut", "salt", "places", "key"))
     own = [f"`{c}`" for c in df.columns]
     # The key is a hash without nulls, so both sides of the join are partitioned as the rows already are.
-    spread = df.where(F.col(score).isNotNull()).withColumns({key: F.xxhash64(*groups), salt: F.pmod(F.xxhash64(*own), F.lit(salts)).cast("int")}).repartition(key, salt)
+    spread = df.where(F.col(score).isNotNull()).withColumns({key: F.xxhash64(*groups), salt: F.coalesce(F.pmod(F.xxhash64(*own), F.lit(salts)).cast("int"), F.lit(0))}).repartition(key, salt)
     scored = (spread.distinct() if distinct else spread).withColumn(bin_, F.coalesce(score_bin(F.col(score)), F.lit(0)))
     w = Window.partitionBy(key, *groups).orderBy(F.desc(bin_))
     cut = (
