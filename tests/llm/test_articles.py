@@ -3,7 +3,7 @@ from itertools import product
 
 import pytest
 
-from millrace.llm.markup import clean, clean_markup, notations
+from millrace.llm.markup import Mark, clean, clean_markup, find_marks, fit_costs, label_marks, notations
 from millrace.llm.mincut import min_cut
 from millrace.llm.stuffing import judge, judge_pages, stuffed_pages
 
@@ -97,3 +97,32 @@ def test_stuffed_pages(spark):
     assert sorted(r["page_id"] for r in stuffed_pages(d, "page_id", "n_chars").collect()) == list(range(len(STUFFED)))
     assert judge_pages(d, "page_id", "n_chars").count() == len(rows)
     assert stuffed_pages(d.where("false"), "page_id", "n_chars").count() == 0
+
+
+def test_ties_decide_what_doubtful_marks_are():
+    text = "== Places ==\nThe [[Harbour]] is old.\n- boats\n- nets\n== Food ==\nSee [[Fish]]."
+    marks = find_marks(text)
+    kinds = lambda edges: {m.kind for m, is_mark in zip(marks, label_marks(marks, edges), strict=True) if is_mark}
+    assert kinds(True) == {"wiki"} and kinds(False) == {"wiki", "markdown"}
+    assert notations("- boats\n- nets") == ["markdown"]
+    near = [Mark(0, 1, "markdown", "a", -0.2, 0, 0), Mark(2, 3, "markdown", "b", 0.3, 0, 0)]
+    far = [Mark(0, 1, "markdown", "a", -0.2, 0, 0), Mark(2, 3, "markdown", "b", 0.3, 9, 4)]
+    assert label_marks(near)[0] and not label_marks(near, edges=False)[0] and not label_marks(far)[0]
+
+
+def test_costs_are_fitted_from_texts_known_by_other_marks():
+    wiki = ["== A ==\n* one\n* two"] * 300
+    plain = ["* one\n* two"] * 10
+    costs = fit_costs(wiki + plain)
+    assert costs["wiki", "star item"] > 1 > -1 > costs["markdown", "star item"]
+    assert notations("* one", costs) == ["wiki"] and notations("* one") == []
+    assert all(abs(fit_costs([])[k] - e) < 1e-9 for k, e in {("markdown", "code"): 2.5, ("wiki", "star item"): -0.5}.items())
+
+
+def test_broken_markup_is_read_in_time():
+    import time
+
+    began = time.process_time()
+    for piece in ("<!-- x ", "\\[ a ", "\\( b ", "$$", "\n", "` ", "[[", "{{", "&lt;a ", "** ", "<pre>"):
+        clean(piece * 20_000)
+    assert time.process_time() - began < 60
