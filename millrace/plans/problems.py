@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.functions.parse import clean_text, parse_day, parse_number, parse_second_of_day
 from millrace.operators.features import entity_features, features_at
 from millrace.operators.orders import AMOUNT_PARTS, clean_orders
-from millrace.operators.rolling import rolling_totals
+from millrace.operators.rolling import rolling_totals, trailing_at
 from millrace.operators.sessions import sessionize
 from millrace.plans.tables import table
 
@@ -62,24 +62,22 @@ PERIODS = {"L7D": 7, "L30D": 30}
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    stored = table(spark, d, "ta_raw").select("caldate", "periodtype", "member_id", *[parse_number(F.col(f"value{i}")).alias(f"v{i}") for i in (1, 2, 3)]).dropna().distinct()
+    stored = table(spark, d, "ta_raw").select("caldate", "periodtype", "member_id", *[parse_number(F.col(f"value{i}")).alias(f"v{i}") for i in (1, 2, 3)]).dropna().where(F.col("periodtype").isin(*PERIODS))
     stored = stored.withColumns({"day": F.unix_date(parse_day(F.col("caldate"))), "who": F.trim("member_id")})
     orders = _daily_orders(spark, d).withColumnRenamed("member_id", "who")
-    out = None
+    got = trailing_at(orders, stored, "who", "day", "amount_parts", list(PERIODS.values()))
+    off = F.lit(False)
     for name, width in PERIODS.items():
-        asked = stored.where(F.col("periodtype") == name)
-        got = rolling_totals(orders, "who", "day", "amount_parts", width, points=asked.select("who", "day"), parts=AMOUNT_PARTS).withColumnRenamed("entity", "who")
-        off = (F.abs(F.col("v1") - F.col("total")) > TOLERANCE) | (F.abs(F.col("v2") - F.col("average")) > TOLERANCE) | (F.col("v3") != F.col("n"))
-        part = asked.join(got, ["who", "day"]).where(off).select("member_id", "caldate", "periodtype").distinct()
-        out = part if out is None else out.unionByName(part)
-    return out
+        total = F.col(f"total_{width}") / AMOUNT_PARTS
+        wrong = (F.abs(F.col("payload.v1") - total) > TOLERANCE) | (F.abs(F.col("payload.v2") - total / width) > TOLERANCE) | (F.col("payload.v3") != F.col(f"n_{width}"))
+        off |= (F.col("payload.periodtype") == name) & wrong
+    return got.where(off).select("payload.member_id", "payload.caldate", "payload.periodtype").distinct()
 
 
 def p7_rolling(spark: SparkSession, d: str) -> DataFrame:
     """Totals and averages over the last 7 and 30 days for every member and day from the first order on."""
-    orders = _daily_orders(spark, d)
-    parts = [rolling_totals(orders, "member_id", "day", "amount_parts", w, parts=AMOUNT_PARTS) for w in PERIODS.values()]
-    return parts[0].unionByName(parts[1]).select(F.col("entity").alias("member_id"), F.date_format(F.date_from_unix_date("day"), "yyyy-MM-dd").alias("caldate"), F.col("width").cast("bigint").alias("width"), F.round("total", 4).alias("total"), F.round("average", 4).alias("average"), F.col("n").cast("bigint").alias("n"))
+    got = rolling_totals(_daily_orders(spark, d), "member_id", "day", "amount_parts", list(PERIODS.values()), parts=AMOUNT_PARTS)
+    return got.select(F.col("entity").alias("member_id"), F.date_format(F.date_from_unix_date("day"), "yyyy-MM-dd").alias("caldate"), F.col("width").cast("bigint").alias("width"), F.round("total", 4).alias("total"), F.round("average", 4).alias("average"), F.col("n").cast("bigint").alias("n"))
 
 
 QUERIES = {"p2_found": p2_found, "p2_sessions": p2_sessions, "p4_found": p4_found, "p4_features": p4_features, "p7_found": p7_found, "p7_rolling": p7_rolling}

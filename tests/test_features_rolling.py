@@ -1,10 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from millrace.operators.features import entity_features, features_at
 from millrace.operators.orders import clean_orders
-from millrace.operators.rolling import rolling_totals
+from millrace.operators.rolling import _all_days, rolling_totals, trailing_at
 
 
 def events(n, seed=3):
@@ -58,6 +59,29 @@ def test_rolling_totals_match_brute_force(spark, width):
     assert some == {("hot", last + 3): float(sum((x[3] or 0) for x in rows if x[0] == "hot" and x[2] > last + 3 - width)), ("nobody", 4): 0.0, ("m1", -50): 0.0}
 
 
+def test_points_keep_what_they_bring(spark):
+    rows = events(300, 11)
+    points = [("hot", d, f"p{k}") for k in range(2) for d in range(-5, 90, 3)] + [("m1", 400, "far"), (None, 3, "none")]
+    e, p = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(points, "who string, day int, tag string")
+    got = sorted((r["payload"]["tag"], r["day"], r["total_2"], r["n_2"], r["total_9"], r["n_9"]) for r in trailing_at(e, p, "who", "day", "cents", [2, 9]).collect())
+    inside = lambda w, d, k: [x[3] or 0 for x in rows if x[0] == w and d - k < x[2] <= d]
+    assert got == sorted((t, d, sum(inside(w, d, 2)), len(inside(w, d, 2)), sum(inside(w, d, 9)), len(inside(w, d, 9))) for w, d, t in points if w)
+
+
+@pytest.mark.parametrize("size", [1, 3, 11, 1000])
+def test_streams_of_any_batches(size):
+    random.seed(size)
+    cells = {("abc"[k % 3], random.randint(-20, 60)): random.randint(1, 9) for k in range(90)}
+    rows = [(w, d, n, 1, 62) for (w, d), n in sorted(cells.items())]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k : k + size], strict=True)], names=["entity", "day", "total", "n", "last"]) for k in range(0, len(rows), size)]
+    got = sorted(tuple(r.values()) for b in _all_days(iter(batches), [1, 7, 100], list("edwtn")) for r in b.to_pylist())
+    want = []
+    for who in "abc":
+        own = {d: n for (w, d), n in cells.items() if w == who}
+        want += [(who, d, k, sum(n for t, n in own.items() if d - k < t <= d), sum(d - k < t <= d for t in own)) for d in range(min(own), 63) for k in (1, 7, 100)]
+    assert got == sorted(want)
+
+
 def test_empty_events(spark):
     e = spark.createDataFrame([], SCHEMA)
     assert rolling_totals(e, "who", "day", "cents", 7).count() == 0
