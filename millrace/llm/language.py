@@ -12,7 +12,7 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.text import unmark
+from millrace.functions.text import TAG, unmark
 
 #: The spellings of each language's label.
 LABELS = {
@@ -30,6 +30,7 @@ _LETTER = regex.compile(r"\p{L}")
 _NO_LETTER = regex.compile(r"\P{L}+")
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}'’]*")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
+_UNSPACED_OR_HANGUL = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}]")
 _SCRIPTS = (("hangul", regex.compile(r"\p{Hangul}")), ("kana", regex.compile(r"[\p{Hiragana}\p{Katakana}]")), ("han", regex.compile(r"\p{Han}")))
 _SENTENCE = regex.compile(r"[^.!?。！？\n]+[.!?。！？]*[\"'”’»)）」』]*")
 _ADDRESS = regex.compile(r"(?:https?://|www\.)\S+|\S+@\S+")
@@ -83,39 +84,75 @@ def sentences(text: str) -> list[str]:
     return out
 
 
+def scripts(text: str, least: float) -> frozenset[str]:
+    """The kinds of writing that have at least the share ``least`` of a text's letters."""
+    if text.isascii() or not _UNSPACED_OR_HANGUL.search(text):
+        return frozenset(["other"])
+    found = {name: len(pattern.findall(text)) for name, pattern in _SCRIPTS}
+    size = sum(map(str.isalpha, text))
+    found["other"] = size - sum(found.values())
+    return frozenset(name for name, n in found.items() if n >= least * max(1, size) and n)
+
+
 class Languages:
-    """Raw-content dictionaries of all languages; the language of a text is the one whose dictionary codes it shortest."""
+    """Raw-content dictionaries of all languages; the language of a text is the one whose dictionary codes it shortest.
 
-    def __init__(self, samples: dict[str, bytes], level: int = 3) -> None:
+    A text is coded with the dictionaries that hold its kinds of writing (a tenth of their letters at least).
+    """
+
+    def __init__(self, samples: dict[str, bytes], level: int = 1) -> None:
         self.samples, self.level = samples, level
+        self.held = {code: scripts(sample.decode(errors="ignore"), 0.1) for code, sample in samples.items()}
 
     def __reduce__(self):
         return Languages, (self.samples, self.level)
 
-    def _coders(self) -> list[tuple[str, zstandard.ZstdCompressor]]:
+    def _coders(self) -> dict[str, zstandard.ZstdCompressor]:
         kept = sys.__dict__.setdefault("_millrace_coders", {})
         key = (self.level, tuple((k, len(v), hash(v)) for k, v in self.samples.items()))
         if key not in kept:
             params = zstandard.ZstdCompressionParameters.from_level(self.level, write_content_size=0, write_checksum=0, write_dict_id=0)
-            made = []
+            made = {"": zstandard.ZstdCompressor(compression_params=params)}
             for code, sample in self.samples.items():
                 d = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 d.precompute_compress(compression_params=params)
-                made.append((code, zstandard.ZstdCompressor(dict_data=d, compression_params=params)))
+                made[code] = zstandard.ZstdCompressor(dict_data=d, compression_params=params)
             kept[key] = made
         return kept[key]
 
-    def rank(self, text: str) -> tuple[str, float]:
-        """The language and the share by which its code is shorter than the next one's."""
-        raw = text.lower().encode()
-        sizes = sorted((len(c.compress(raw)), code) for code, c in self._coders())
-        if len(sizes) < 2:
-            return sizes[0][1], 1.0
-        return sizes[0][1], 1 - sizes[0][0] / sizes[1][0]
+    def rank_all(self, texts: list[str]) -> list[tuple[str, float]]:
+        """Each text's language and the share by which its code is shorter than the next one's (than that without a dictionary, if only one language has its writing)."""
+        if not self.samples:
+            return [("", 0.0)] * len(texts)
+        raw = [t.lower().encode() for t in texts]
+        asked: dict[str, list[int]] = {}
+        fits: dict[frozenset, list[str]] = {}
+        for i, t in enumerate(texts):
+            held = scripts(t, 0.25)
+            if held not in fits:
+                own = [c for c in self.samples if self.held[c] & held] or list(self.samples)
+                fits[held] = own if len(own) > 1 else [*own, ""]
+            for code in fits[held]:
+                asked.setdefault(code, []).append(i)
+        best, least, second = [""] * len(raw), [1 << 60] * len(raw), [1 << 60] * len(raw)
+        coders = self._coders()
+        for code in sorted(asked):
+            at = [i for i in asked[code] if raw[i]]
+            if not at:
+                continue
+            for i, got in zip(at, coders[code].multi_compress_to_buffer([raw[i] for i in at]), strict=True):
+                n = len(got)
+                if code and n < least[i]:
+                    best[i], least[i], second[i] = code, n, min(least[i], second[i])
+                elif n < second[i]:
+                    second[i] = n
+        return [(b, max(0.0, 1 - n / m) if m < 1 << 60 else 0.0) for b, n, m in zip(best, least, second, strict=True)]
+
+    def classify_all(self, texts: list[str], margin: float = MARGIN) -> list[tuple[str | None, float]]:
+        return [(code if code and far >= margin else None, far) for code, far in self.rank_all(texts)]
 
     def classify(self, text: str, margin: float = MARGIN) -> tuple[str | None, float]:
-        code, far = self.rank(text)
-        return (code if far >= margin else None), far
+        return self.classify_all([text], margin)[0]
 
 
 def fit_languages(rows: list[tuple[str, str]], dict_bytes: int = DICT_BYTES, n_chunks: int = 8, chunk_bytes: int = 16_000, rounds: int = 2, max_sentences: int = 1200) -> Languages:
@@ -164,12 +201,18 @@ def fit_languages(rows: list[tuple[str, str]], dict_bytes: int = DICT_BYTES, n_c
 
     for _ in range(rounds):
         models = [fitted(chunk_bytes, {code: [s for c, s in parts if c == chunk] for code, parts in rest.items()}) for chunk in range(n_chunks)]
-        rest = {code: [(c, s) for c, s in parts if 2 * sum(m.rank(s)[0] == code for i, m in enumerate(models) if i != c and m.samples) > n_chunks - 1] for code, parts in rest.items()}
+        flat = [(code, c, s) for code, parts in rest.items() for c, s in parts]
+        votes = [0] * len(flat)
+        for chunk, m in enumerate(models):
+            others = [k for k, x in enumerate(flat) if x[1] != chunk]
+            for k, (found, _) in zip(others, m.rank_all([flat[k][2] for k in others]), strict=True):
+                votes[k] += found == flat[k][0]
+        rest = {code: [(c, s) for (own, c, s), n in zip(flat, votes, strict=True) if own == code and 2 * n > n_chunks - 1] for code in rest}
     return fitted(dict_bytes, {code: [s for _, s in parts] for code, parts in rest.items()})
 
 
 def sample_labelled(docs: DataFrame, label: Column, text: str, doc_id: str, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """About ``per_language`` labelled texts of each language, chosen by the hash of their id; of long ones the first ``chars`` characters."""
+    """About ``per_language`` labelled texts of each language, at most twice as many in all, chosen and ordered by the hash of their id; of long ones the first ``chars`` characters."""
     rows = docs.select(label.alias("code"), F.pmod(F.xxhash64(doc_id), F.lit(1 << 30)).alias("h"), F.substring(text, 1, chars).alias("t")).where(F.col("code").isNotNull() & F.col("t").isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy("code").count().collect()}  # one row a language
     if not counts:
@@ -178,64 +221,97 @@ def sample_labelled(docs: DataFrame, label: Column, text: str, doc_id: str, per_
     for code, n in counts.items():
         part = (F.col("code") == code) & (F.col("h") < int(min(1.0, per_language / n) * (1 << 30)))
         wanted = part if wanted is None else wanted | part
-    return [(r[0], r[1]) for r in rows.where(wanted).select("code", "t").limit(2 * per_language * len(LANGUAGES)).collect()]
+    return [(r[0], r[1]) for r in rows.where(wanted).orderBy("h", "code", "t").limit(2 * per_language * len(LANGUAGES)).collect()]
+
+
+_HIDE = (regex.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)", regex.S | regex.I), TAG, _ADDRESS, regex.compile(r"(?<=\])\([^()\s]*\)"), regex.compile(r"&#?\w{1,31};"), regex.compile(r"\\[a-zA-Z]+\*?"))
+
+
+def spans(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, what of it is language) of the parts of a text, without gaps: sentences, with anything too short for one put to the part before, or the next if it is the first."""
+    bare = text
+    for p in _HIDE:
+        bare = p.sub(lambda m: " " * len(m.group(0)), bare)
+    out: list[list] = []
+    start = 0
+    for m in [*_SENTENCE.finditer(bare), None]:
+        if m is None:
+            if out:
+                out[-1][1] = len(text)
+            elif text:
+                out.append([0, len(text), bare.strip()])
+            break
+        s = m.group(0).strip()
+        if len(_UNSPACED.findall(s)) >= MIN_CHARS or len(_WORD.findall(s)) >= MIN_WORDS:
+            if out:
+                out[-1][1] = start = m.start()
+            out.append([start if out else 0, m.end(), s])
+    return [tuple(x) for x in out]
+
+
+_PER_CALL = 500
 
 
 def _segments(batches: Iterator[pa.RecordBatch], model: Languages, margin: float, names: list[str]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        doc, no, lang, far, size = [], [], [], [], []
-        for i, text in enumerate(b.column(1).to_pylist()):
-            if not text or not _LETTER.search(text):
-                continue
-            for k, s in enumerate(sentences(text)):
-                code, confidence = model.classify(s, margin)
-                doc.append(i)
-                no.append(k)
-                lang.append(code)
-                far.append(confidence)
-                size.append(len(s))
-        if doc:
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(no, pa.int64()), pa.array(lang, pa.string()), pa.array(far, pa.float64()), pa.array(size, pa.int64())], names=names)
+    for whole in batches:
+        for lo in range(0, whole.num_rows, _PER_CALL):
+            b = whole.slice(lo, _PER_CALL)
+            doc, no, begin, end, parts = [], [], [], [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                for k, (x, y, s) in enumerate(spans(text or "")):
+                    doc.append(i)
+                    no.append(k)
+                    begin.append(x)
+                    end.append(y)
+                    parts.append(s)
+            if doc:
+                got = [(code, far) if _LETTER.search(s) else (None, 0.0) for s, (code, far) in zip(parts, model.classify_all(parts, margin), strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(no, pa.int64()), pa.array([c for c, _ in got], pa.string()), pa.array([f for _, f in got], pa.float64()), pa.array(begin, pa.int64()), pa.array(end, pa.int64())], names=names)
+
+
+def _languages(parts: list[str], found: list[tuple[str | None, float]], margin: float) -> dict[str, list]:
+    """Characters, weighted and best confidence of the languages of a text's sentences."""
+    got: dict[str, list] = {}
+    for s, (code, confidence) in zip(parts, found, strict=True):
+        if code:
+            x = got.setdefault(code, [0, 0.0, 0.0])
+            x[0] += len(s)
+            x[1] += confidence * len(s)
+            x[2] = max(x[2], confidence)
+    main = max(got, key=lambda c: (got[c][0], c), default=None)
+    return {c: x for c, x in got.items() if c == main or x[2] >= max(margin, SECOND_MARGIN)}
 
 
 def _documents(batches: Iterator[pa.RecordBatch], model: Languages, margin: float, names: list[str]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        langs, sizes, far = [], [], []
-        for text in b.column(1).to_pylist():
-            got: dict[str, list] = {}
-            if text and _LETTER.search(text):
-                parts = sentences(text)
-                for s in parts:
-                    code, confidence = model.classify(s, margin)
-                    if code:
-                        x = got.setdefault(code, [0, 0.0, 0.0])
-                        x[0] += len(s)
-                        x[1] += confidence * len(s)
-                        x[2] = max(x[2], confidence)
-                main = max(got, key=lambda c: (got[c][0], c), default=None)
-                got = {c: x for c, x in got.items() if c == main or x[2] >= max(margin, SECOND_MARGIN)}
-                if not got:
-                    words = _WORD.findall(_ADDRESS.sub(" ", unmark(text)))
-                    if words:
-                        code, confidence = model.classify(" ".join(words), margin)
-                        if code:
-                            got[code] = [len(text), confidence * len(text), confidence]
-            order = sorted(got, key=lambda c: (-got[c][0], c))
-            langs.append(order)
-            sizes.append([got[c][0] for c in order])
-            far.append([got[c][1] / got[c][0] for c in order])
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.list_(pa.string())), pa.array(sizes, pa.list_(pa.int64())), pa.array(far, pa.list_(pa.float64()))], names=names)
+    for whole in batches:
+        for lo in range(0, whole.num_rows, _PER_CALL):
+            b = whole.slice(lo, _PER_CALL)
+            texts = b.column(1).to_pylist()
+            parts = [sentences(t) if t and _LETTER.search(t) else [] for t in texts]
+            found = iter(model.classify_all([s for p in parts for s in p], margin))
+            got = [_languages(p, [next(found) for _ in p], margin) for p in parts]
+            rest = [i for i, t in enumerate(texts) if t and not got[i] and _LETTER.search(t)]
+            joined = [" ".join(_WORD.findall(_ADDRESS.sub(" ", unmark(texts[i])))) for i in rest]
+            for i, (code, confidence), s in zip(rest, model.classify_all(joined, margin), joined, strict=True):
+                if code and s:
+                    got[i] = {code: [len(texts[i]), confidence * len(texts[i]), confidence]}
+            order = [sorted(g, key=lambda c: (-g[c][0], c)) for g in got]  # noqa: B023
+            sizes = [[g[c][0] for c in o] for g, o in zip(got, order, strict=True)]
+            far = [[g[c][1] / g[c][0] for c in o] for g, o in zip(got, order, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(order, pa.list_(pa.string())), pa.array(sizes, pa.list_(pa.int64())), pa.array(far, pa.list_(pa.float64()))], names=names)
 
 
 def segment_languages(docs: DataFrame, doc_id: str, text: str, model: Languages, margin: float = MARGIN) -> DataFrame:
-    """The language of each sentence: ``doc_id, segment, lang, confidence, n_chars``.
+    """The language of each part of a text: ``doc_id, segment, lang, confidence, start, end``.
 
-    ``confidence`` is the share by which the best language's code is shorter than the next one's; below ``margin``
-    the language is null. Texts that are null, empty or without letters have no segments.
+    Parts are sentences with what stands around them; ``start`` and ``end`` (not included) are positions in the text, in
+    code points, and the parts of a text follow each other without gaps, so nothing of it is in no part. ``confidence``
+    is the share by which the best language's code is shorter than the next one's; below ``margin`` the language is
+    null, as for parts without letters. Null and empty texts have no parts.
     """
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    names = ["doc_id", "segment", "lang", "confidence", "n_chars"]
-    return d.mapInArrow(lambda b: _segments(b, model, margin, names), f"doc_id {d.dtypes[0][1]}, segment bigint, lang string, confidence double, n_chars bigint")
+    names = ["doc_id", "segment", "lang", "confidence", "start", "end"]
+    return d.mapInArrow(lambda b: _segments(b, model, margin, names), f"doc_id {d.dtypes[0][1]}, segment bigint, lang string, confidence double, start bigint, end bigint")
 
 
 def document_languages(docs: DataFrame, doc_id: str, text: str, model: Languages, margin: float = MARGIN) -> DataFrame:

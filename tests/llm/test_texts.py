@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from millrace.functions.text import WORD_CHAR, fold, unmark, words
-from millrace.llm.language import Languages, document_languages, fit_languages, label_language, label_missing, segment_languages, sentences
+from millrace.llm.language import Languages, document_languages, fit_languages, label_language, label_missing, segment_languages, sentences, spans
 from millrace.llm.leak import WuManber, find_leaks
 from millrace.llm.mixture import NotSolved, Source, balance, draw, set_goals, shares
 from millrace.llm.tokens import VOCABULARY, count_tokens, encoder
@@ -100,6 +100,22 @@ def test_documents_and_segments(spark, model):
     assert document_languages(d.where("false"), "doc_id", "text", model).count() == 0
 
 
+def test_parts_tile_the_text(model):
+    f = {c: [x.format("Tolund") for x in forms] for c, forms in SENTENCES.items()}
+    texts = ["", "x", "12. 34", "<p>Hi.</p> " + f["en"][0] + " Ok! <a href='http://a.b/c.d'>" + f["de"][1] + "</a> &amp; so\n" + f["zh"][0] + " 短い。", "a. " * 5000, "…\n\n"]
+    for t in texts:
+        got = spans(t)
+        assert [x for x, _, _ in got] + [len(t)] == [0] * bool(t) + [y for _, y, _ in got] if t else not got
+    assert [model.classify(s)[0] for _, _, s in spans(texts[3])] == ["en", "de", "zh"]
+    assert "Ok!" in texts[3][spans(texts[3])[0][0] : spans(texts[3])[0][1]]
+
+
+def test_a_writing_that_one_language_has(model):
+    samples = {"en": ("the rain in spain falls mainly " * 40).encode(), "ko": ("우리는 비가 내리기 시작할 때까지 강을 따라 걸었다 " * 40).encode()}
+    assert Languages(samples).classify("비가 내리기 시작할 때까지 걸었다")[0] == "ko"
+    assert Languages({}).classify("some words")[0] is None
+
+
 def test_labels(spark):
     from pyspark.sql import functions as F
 
