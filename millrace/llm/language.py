@@ -120,7 +120,7 @@ class Languages:
             kept[key] = made
         return kept[key]
 
-    def rank_all(self, texts: list[str]) -> list[tuple[str, float]]:
+    def rank_all(self, texts: list[str], writing: list[frozenset] | None = None) -> list[tuple[str, float]]:
         """Each text's language and the share by which its code is shorter than the next one's (than that without a dictionary, if only one language has its writing)."""
         if not self.samples:
             return [("", 0.0)] * len(texts)
@@ -128,7 +128,7 @@ class Languages:
         asked: dict[str, list[int]] = {}
         fits: dict[frozenset, list[str]] = {}
         for i, t in enumerate(texts):
-            held = scripts(t, 0.25)
+            held = writing[i] if writing else scripts(t, 0.25)
             if held not in fits:
                 own = [c for c in self.samples if self.held[c] & held] or list(self.samples)
                 fits[held] = own if len(own) > 1 else [*own, ""]
@@ -202,10 +202,11 @@ def fit_languages(rows: list[tuple[str, str]], dict_bytes: int = DICT_BYTES, n_c
     for _ in range(rounds):
         models = [fitted(chunk_bytes, {code: [s for c, s in parts if c == chunk] for code, parts in rest.items()}) for chunk in range(n_chunks)]
         flat = [(code, c, s) for code, parts in rest.items() for c, s in parts]
+        writing = [scripts(s, 0.25) for _, _, s in flat]
         votes = [0] * len(flat)
         for chunk, m in enumerate(models):
             others = [k for k, x in enumerate(flat) if x[1] != chunk]
-            for k, (found, _) in zip(others, m.rank_all([flat[k][2] for k in others]), strict=True):
+            for k, (found, _) in zip(others, m.rank_all([flat[k][2] for k in others], [writing[k] for k in others]), strict=True):
                 votes[k] += found == flat[k][0]
         rest = {code: [(c, s) for (own, c, s), n in zip(flat, votes, strict=True) if own == code and 2 * n > n_chunks - 1] for code in rest}
     return fitted(dict_bytes, {code: [s for _, s in parts] for code, parts in rest.items()})
@@ -221,7 +222,7 @@ def sample_labelled(docs: DataFrame, label: Column, text: str, doc_id: str, per_
     for code, n in counts.items():
         part = (F.col("code") == code) & (F.col("h") < int(min(1.0, per_language / n) * (1 << 30)))
         wanted = part if wanted is None else wanted | part
-    return [(r[0], r[1]) for r in rows.where(wanted).orderBy("h", "code", "t").limit(2 * per_language * len(LANGUAGES)).collect()]
+    return [(r["code"], r["t"]) for r in rows.where(wanted).orderBy("h", "code", "t").limit(2 * per_language * len(LANGUAGES)).collect()]
 
 
 _HIDE = (regex.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)", regex.S | regex.I), TAG, _ADDRESS, regex.compile(r"(?<=\])\([^()\s]*\)"), regex.compile(r"&#?\w{1,31};"), regex.compile(r"\\[a-zA-Z]+\*?"))

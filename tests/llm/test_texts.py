@@ -2,9 +2,10 @@ import random
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from millrace.functions.text import WORD_CHAR, fold, unmark, words
-from millrace.llm.language import Languages, document_languages, fit_languages, label_language, label_missing, segment_languages, sentences, spans
+from millrace.llm.language import Languages, document_languages, fit_languages, label_language, label_missing, sample_labelled, segment_languages, sentences, spans
 from millrace.llm.leak import WuManber, find_leaks
 from millrace.llm.mixture import NotSolved, Source, balance, draw, set_goals, shares
 from millrace.llm.tokens import VOCABULARY, count_tokens, encoder
@@ -100,6 +101,12 @@ def test_documents_and_segments(spark, model):
     assert document_languages(d.where("false"), "doc_id", "text", model).count() == 0
 
 
+def test_sample_is_the_same_whatever_the_order(spark):
+    rows = [(i, "x" * 9000 if i % 2 else None, "en" if i % 3 else "de") for i in range(200)]
+    got = [sample_labelled(spark.createDataFrame(r, "id int, t string, l string"), F.col("l"), "t", "id", per_language=20, chars=50) for r in (rows, rows[::-1])]
+    assert got[0] == got[1] and {c for c, _ in got[0]} == {"en", "de"} and all(t == "x" * 50 for _, t in got[0]) and 10 < len(got[0]) < 90
+
+
 def test_parts_tile_the_text(model):
     f = {c: [x.format("Tolund") for x in forms] for c, forms in SENTENCES.items()}
     texts = ["", "x", "12. 34", "<p>Hi.</p> " + f["en"][0] + " Ok! <a href='http://a.b/c.d'>" + f["de"][1] + "</a> &amp; so\n" + f["zh"][0] + " 短い。", "a. " * 5000, "…\n\n"]
