@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.markup import clean_markup, fit_costs, sample_texts
-from millrace.llm.stuffing import judge_pages, stuffed_pages
+from millrace.llm.stuffing import fit_classes, judge_pages, sample_pages, stuffed_pages
 from millrace.plans.tables import table
 
 
+def _classes(pages: DataFrame):
+    return fit_classes(sample_pages(pages, "article_id", "content", "is_spam"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return stuffed_pages(table(spark, d, "articles_half_a"), "article_id", "content").select(F.col("page_id").alias("article_id"))
+    pages = table(spark, d, "articles_half_a")
+    return stuffed_pages(pages, "article_id", "content", classes=_classes(pages)).select(F.col("page_id").alias("article_id"))
 
 
 def p3_pages(spark: SparkSession, d: str) -> DataFrame:
     """Every article's share of keywords, links and tags, by author too."""
     pages = table(spark, d, "articles_half_a")
-    got = judge_pages(pages.select(F.struct("article_id", "author").alias("key"), "content"), "key", "content")
+    got = judge_pages(pages.select(F.struct("article_id", "author").alias("key"), "content"), "key", "content", _classes(pages))
     return got.select(F.col("page_id.article_id"), F.col("page_id.author"), "n_chars", F.round("stuffed_share", 6).alias("stuffed_share"), "n_shapes", "kind")
 
 
