@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -90,28 +93,101 @@ def _scan(batches: Iterator[pa.RecordBatch], by_word: WuManber, by_char: WuManbe
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(item, kind), pa.array(hits, pa.int64())], names=names)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_lang: str, item_text: str, n_words: int = 10, n_chars: int = 20, max_items: int = 20_000) -> DataFrame:
+def _hashes(symbols: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each window of ``length`` symbols, given theirs."""
+    if len(symbols) < length:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(len(symbols) - length + 1, np.uint64)
+    for k in range(length):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + symbols[k : k + len(out)]
+    return out ^ (out >> np.uint64(29))
+
+
+def _symbols(words_or_text: Sequence) -> np.ndarray:
+    if isinstance(words_or_text, str):
+        return np.frombuffer(words_or_text.encode("utf-32-le"), np.uint32).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words_or_text), np.uint64, len(words_or_text))
+
+
+def _windows(text: str | None, unspaced: bool, n_words: int, n_chars: int) -> tuple[Sequence, np.ndarray, int]:
+    """A text's symbols, the hashes of its windows, and their length."""
+    plain = fold(unmark(text or ""))
+    own = WORD_CHAR.sub("", plain) if unspaced else words(plain)
+    length = n_chars if unspaced else n_words
+    return own, _hashes(_symbols(own), length), length
+
+
+def _item_windows(batches: Iterator[pa.RecordBatch], n_words: int, n_chars: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        at, found, passage = [], [], []
+        for i, (lang, text) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
+            own, h, length = _windows(text, lang in UNSPACED, n_words, n_chars)
+            at += [i] * len(h)
+            found.append(h)
+            passage += [own[k : k + length] if isinstance(own, str) else " ".join(own[k : k + length]) for k in range(len(h))]
+        if at:
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(np.concatenate(found).view(np.int64)), pa.array(passage)], names=names)
+
+
+def _likely(batches: Iterator[pa.RecordBatch], bits: Broadcast, n_words: int, n_chars: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The windows of each document that the bitmap of the items' hashes lets through."""
+    table = bits.value
+    mask = np.uint64(len(table) * 64 - 1)
+    for b in batches:
+        at, found, passage = [], [], []
+        for i, text in enumerate(b.column(1).to_pylist()):
+            for unspaced in (False, True):
+                if not text or (unspaced and text.isascii()):
+                    continue
+                own, h, length = _windows(text, unspaced, n_words, n_chars)
+                slot = h & mask
+                hits = np.flatnonzero((table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1))
+                at += [i] * len(hits)
+                found.append(h[hits])
+                passage += [own[k : k + length] if unspaced else " ".join(own[k : k + length]) for k in hits]
+        if at:
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(np.concatenate(found).view(np.int64)), pa.array(passage)], names=names)
+
+
+def _many_leaks(d: DataFrame, items: DataFrame, n_words: int, n_chars: int, log_bits: int) -> DataFrame:
+    """As ``find_leaks`` for items of any number and size: one pass over the documents, which the items never leave their executors for.
+
+    The items' window hashes set the bits of one bitmap of 2 ** ``log_bits`` bits, the only thing that goes to every
+    task. Windows of documents whose bit is set are shuffled by their hash, after copies of an item's window are put
+    together, and compared with the items' windows symbol by symbol.
+    """
+    spark = d.sparkSession
+    kind = items.schema[0].dataType.simpleString()
+    windows = items.mapInArrow(lambda b: _item_windows(b, n_words, n_chars, ["item_id", "h", "passage"]), f"item_id {kind}, h bigint, passage string").distinct()
+    slot = F.col("h").bitwiseAND(F.lit((1 << log_bits) - 1))
+    words_ = windows.select(F.shiftright(slot, 6).alias("word"), F.expr(f"shiftleft(1L, cast((h & {(1 << log_bits) - 1}) % 64 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    table = np.zeros(max(1, (1 << log_bits) // 64), np.uint64)
+    for b in words_.toArrow().to_batches():  # at most 2 ** (log_bits - 6) rows of 16 bytes
+        table[b.column(0).to_numpy()] = b.column(1).to_numpy().view(np.uint64)
+    bits = spark.sparkContext.broadcast(table)
+    likely = d.mapInArrow(lambda b: _likely(b, bits, n_words, n_chars, ["doc_id", "h", "passage"]), f"doc_id {dict(d.dtypes)['doc_id']}, h bigint, passage string")
+    return likely.join(windows, ["h", "passage"]).groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_windows"))
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_lang: str, item_text: str, n_words: int = 10, n_chars: int = 20, max_chars: int = 20_000_000, log_bits: int = 28) -> DataFrame:
     """Every document with the items of which it holds a passage: ``doc_id, item_id, n_windows``.
 
     A passage is ``n_words`` consecutive words of an item (runs of letters or digits), or ``n_chars`` consecutive
     letters or digits of an item in a language without blanks; case, punctuation, blanks, markup, invisible
     characters, width and Unicode form don't matter, on either side. ``n_windows`` counts the matching windows, so a
     passage of 14 words counts 5. Null and empty texts and items shorter than a passage match nothing; repeated
-    documents and copies of an item each get rows; empty tables give none; other columns don't matter.
+    documents each get rows (with their windows added up where the items are too large for one task); a repeated item
+    counts once; empty tables give none; other columns don't matter.
 
-    The documents are read once, without a shuffle, whole texts in Arrow batches. Items go to every task; if there
-    are more than ``max_items``, they are taken in that many at a time, with a pass over the documents for each part.
+    The documents are read once, whole texts in Arrow batches, without a shuffle: the items' tables of block shifts
+    and buckets go to every task. Where the items have more than ``max_chars`` characters together, a bitmap of
+    2 ** ``log_bits`` bits of them goes instead, and just the windows it lets through are shuffled; still in one pass.
     """
-    items = items.select(item_id, item_lang, item_text).where(F.col(item_id).isNotNull())
-    n_parts = max(1, -(-items.count() // max_items))
+    own = items.select(F.col(item_id).alias("item_id"), F.col(item_lang).alias("lang"), F.col(item_text).alias("text")).where("item_id is not null")
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = dict(items.dtypes)[item_id]
-    arrow = to_arrow_type(items.schema[item_id].dataType)
-    out = None
-    for part in range(n_parts):
-        own = items if n_parts == 1 else items.where(F.pmod(F.xxhash64(item_id), F.lit(n_parts)) == part)
-        by_word, by_char = passages([tuple(r) for r in own.collect()], n_words, n_chars)
-        names = ["doc_id", "item_id", "n_windows"]
-        got = d.mapInArrow(lambda b, w=by_word, c=by_char: _scan(b, w, c, names, arrow), f"doc_id {dict(d.dtypes)['doc_id']}, item_id {kind}, n_windows bigint")
-        out = got if out is None else out.unionByName(got)
-    return out
+    if (own.agg(F.sum(F.length("text"))).first()[0] or 0) > max_chars:
+        return _many_leaks(d, own, n_words, n_chars, log_bits)
+    by_word, by_char = passages([tuple(r) for r in own.collect()], n_words, n_chars)
+    names = ["doc_id", "item_id", "n_windows"]
+    arrow = to_arrow_type(own.schema["item_id"].dataType)
+    return d.mapInArrow(lambda b: _scan(b, by_word, by_char, names, arrow), f"doc_id {dict(d.dtypes)['doc_id']}, item_id {own.schema['item_id'].dataType.simpleString()}, n_windows bigint")
