@@ -118,18 +118,21 @@ def _daily(events: DataFrame, entity: str, kind: str, day: str, amount: str) ->
     return events.select(F.col(entity).alias("entity"), F.col(kind).alias("kind"), F.col(day).cast("int").alias("day"), F.col(amount).cast("bigint").alias("amount")).where("entity is not null and kind is not null and day is not null").groupBy("entity", "kind", "day").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("amount"), F.lit(0)).alias("total"))
 
 
-def entity_features(events: DataFrame, entity: str, kind: str, day: str, amount: str, kinds: Sequence, as_of: int, parts: int = 1, max_kinds: int = 5000) -> DataFrame:
+def entity_features(events: DataFrame, entity: str, kind: str, day: str, amount: str, kinds: Sequence | None = None, as_of: int | None = None, parts: int = 1, max_kinds: int = 5000) -> DataFrame:
     """One wide row per entity: ``entity``, then for each of ``kinds`` ``r_<kind>`` (days from the latest event to ``as_of``, null if none), ``f_<kind>`` (events) and ``m_<kind>`` (total of ``amount`` / ``parts``).
 
-    Counts events up to and including day ``as_of`` (days since 1970). Events without entity, kind or day are left
-    out; a null amount counts as an event of amount 0; events of other kinds are ignored but their entities still get
-    a row; repeated rows count each; an empty table gives no rows; other columns don't matter. Column names have
+    Counts events up to and including day ``as_of`` (days since 1970; None: the last day of the events). Without
+    ``kinds`` it takes all kinds that the events have, in order, at most ``max_kinds``. Events without entity, kind or day are left
+    out; a null amount counts as an event of amount 0; events of other kinds are ignored (``kind_report`` tells how
+    many there are) but their entities still get a row; repeated rows count each; an empty table gives no rows; other columns don't matter. Column names have
     anything but letters and digits of a kind replaced by ``_``.
 
     Events are combined by entity, kind and day before they are shuffled, bucketed by entity and sorted by entity,
     kind and day; runs then stream into counters and leave as wide rows without another shuffle.
     """
-    kinds = list(kinds)
+    if as_of is None:
+        as_of = events.agg(F.max(F.col(day).cast("int"))).first()[0] or 0
+    kinds = sorted(r[0] for r in events.select(kind).where(F.col(kind).isNotNull()).distinct().limit(max_kinds + 1).collect()) if kinds is None else list(kinds)
     if len(kinds) > max_kinds:
         raise ValueError(f"{len(kinds)} kinds; at most {max_kinds} make a row")
     names = ["entity"] + [f"{p}_{_safe(k)}" for k in kinds for p in ("r", "f", "m")]
@@ -140,6 +143,16 @@ def entity_features(events: DataFrame, entity: str, kind: str, day: str, amount:
     return daily.repartition("entity").sortWithinPartitions("entity", "kind", "day").mapInArrow(lambda b: _wide(b, kinds, as_of, parts, names), T.StructType(fields))
 
 
+def kind_report(events: DataFrame, entity: str, kind: str, kinds: Sequence) -> DataFrame:
+    """``kind, listed, entities, events`` of every kind that the events have: what a feature table of ``kinds`` holds and what it leaves out.
+
+    Null kinds form a row of their own, which isn't listed; entities are counted without nulls; an empty table gives no rows.
+    """
+    pairs = events.groupBy(F.col(kind).alias("kind"), F.col(entity).alias("entity")).agg(F.count(F.lit(1)).alias("n"))
+    rows = pairs.groupBy("kind").agg(F.count("entity").alias("entities"), F.sum("n").alias("events"))
+    return rows.select("kind", F.coalesce(F.col("kind").isin(*kinds), F.lit(False)).alias("listed"), "entities", "events")
+
+
 def features_at(events: DataFrame, probes: DataFrame, entity: str, kind: str, day: str, amount: str, probe_day: str) -> DataFrame:
     """The features of each probe's entity and kind as of the probe's day: ``entity, kind, day, payload, span, recency, frequency, total``.
 

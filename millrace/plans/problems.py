@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.parse import clean_text, parse_day, parse_number, parse_second_of_day
-from millrace.operators.features import entity_features, features_at
+from millrace.operators.features import entity_features, features_at, kind_report
 from millrace.operators.orders import AMOUNT_PARTS, clean_orders
 from millrace.operators.rolling import rolling_totals, trailing_at
 from millrace.operators.sessions import sessionize
@@ -47,13 +48,18 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return got.where(off).select("payload.cal_date", "payload.shop_id", "payload.member_id").distinct()
 
 
-def p4_features(spark: SparkSession, d: str) -> DataFrame:
-    """R, F and M of every member for each of the 240 shop paths as of 2014-06-30."""
+def p4_features(spark: SparkSession, d: str, kinds: Sequence[str] | None = SHOP_PATHS, as_of: int | None = AS_OF) -> DataFrame:
+    """R, F and M of every member for each of ``kinds`` (the 240 shop paths; None: those of the orders) as of a day (2014-06-30; None: the orders' last)."""
     orders = clean_orders(table(spark, d, "data_prepare_member"))
-    wide = entity_features(orders, "member_id", "shop_id", "day", "amount_parts", SHOP_PATHS, AS_OF, AMOUNT_PARTS)
+    wide = entity_features(orders, "member_id", "shop_id", "day", "amount_parts", kinds, as_of, AMOUNT_PARTS)
     return wide.select(F.col("entity").alias("member_id"), *[F.round(c, 4).alias(c) if c[0] == "m" else F.col(c) for c in wide.columns[1:]])
 
 
+def p4_kinds(spark: SparkSession, d: str, kinds: Sequence[str] = SHOP_PATHS) -> DataFrame:
+    """Every shop path of the orders, if the feature table has it, with its members and orders."""
+    return kind_report(clean_orders(table(spark, d, "data_prepare_member")), "member_id", "shop_id", kinds)
+
+
 def _daily_orders(spark: SparkSession, d: str) -> DataFrame:
     return clean_orders(table(spark, d, "data_prepare_member")).select("member_id", "day", "amount_parts")
 
@@ -80,7 +86,7 @@ def p7_rolling(spark: SparkSession, d: str) -> DataFrame:
     return got.select(F.col("entity").alias("member_id"), F.date_format(F.date_from_unix_date("day"), "yyyy-MM-dd").alias("caldate"), F.col("width").cast("bigint").alias("width"), F.round("total", 4).alias("total"), F.round("average", 4).alias("average"), F.col("n").cast("bigint").alias("n"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_sessions": p2_sessions, "p4_found": p4_found, "p4_features": p4_features, "p7_found": p7_found, "p7_rolling": p7_rolling}
+QUERIES = {"p2_found": p2_found, "p2_sessions": p2_sessions, "p4_found": p4_found, "p4_features": p4_features, "p4_kinds": p4_kinds, "p7_found": p7_found, "p7_rolling": p7_rolling}
 
 _DAY = """coalesce(try_strptime(case when regexp_matches(trim({c}), '^\\d{{4}}[-/]?\\d{{2}}[-/]?\\d{{2}}([T ].*)?$') then substr(regexp_replace(substr(trim({c}), 1, 10), '[-/]', '', 'g'), 1, 8) end, '%Y%m%d'),
  try_strptime(case when regexp_matches(trim({c}), '^\\d{{1,2}}-[A-Za-z]{{3}}-\\d{{4}}$') then trim({c}) end, '%d-%b-%Y'))::date"""
@@ -129,6 +135,7 @@ SQL = {
   from l left join o on o.member_id = trim(l.member_id) and o.shop_id = trim(l.shop_id) and o.day <= cast(l.cal_date as date) group by 1, 2, 3, 4, 5, 6)
  select distinct cal_date, shop_id, member_id from x where r is distinct from r2 or f is distinct from f2 or coalesce(abs(m - m2) > {TOLERANCE!r}, true)""",
     "p4_features": _features_sql(),
+    "p4_kinds": f"with {_ORDERS} select shop_id as kind, shop_id in ({', '.join(repr(x) for x in SHOP_PATHS)}) as listed, count(distinct member_id)::bigint as entities, count(*)::bigint as events from o group by shop_id",
     "p7_found": f"""with {_ORDERS}, t as (select distinct member_id, caldate, periodtype, {', '.join(f"{_NUMBER.format(c=f'value{i}')} as v{i}" for i in (1, 2, 3))} from ta_raw),
  u as (select *, case periodtype when 'L7D' then 7 when 'L30D' then 30 end as w, cast(caldate as date) as day from t where v1 is not null and v2 is not null and v3 is not null),
  x as (select u.*, coalesce(sum(o.amount), 0) / 10000 as total, count(o.so_id) as n from u left join o on o.member_id = trim(u.member_id) and o.day between u.day - (u.w - 1)::int and u.day group by all)

@@ -3,7 +3,7 @@ import random
 import pyarrow as pa
 import pytest
 
-from millrace.operators.features import entity_features, features_at
+from millrace.operators.features import entity_features, features_at, kind_report
 from millrace.operators.orders import clean_orders
 from millrace.operators.rolling import _all_days, rolling_totals, trailing_at
 
@@ -37,6 +37,10 @@ def test_wide_rows(spark):
         assert (r["r_k2"], r["f_k2"], r["m_k2"]) == (40 - max(x[2] for x in own), len(own), sum(x[3] or 0 for x in own))
         assert (r["r_k_9"], r["f_k_9"], r["m_k_9"]) == (None, 0, 0.0)
     assert entity_features(e.where("false"), "who", "what", "day", "cents", ["k1"], 40).count() == 0
+    own = entity_features(e, "who", "what", "day", "cents")
+    assert own.columns == ["entity"] + [f"{p}_k{i}" for i in (1, 2, 3) for p in "rfm"] and {r["entity"]: r["f_k1"] for r in own.collect()} == {w: sum(x[:2] == (w, "k1") for x in rows) for w in got}
+    told = {r["kind"]: (r["listed"], r["entities"], r["events"]) for r in kind_report(e, "who", "what", ["k1", "k9"]).collect()}
+    assert told == {k: (k == "k1", len({x[0] for x in rows if x[1] == k and x[0]}), sum(x[1] == k for x in rows)) for k in ("k1", "k2", "k3")}
     with pytest.raises(ValueError):
         entity_features(e, "who", "what", "day", "cents", ["a", "b"], 40, max_kinds=1)
 
