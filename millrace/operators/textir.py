@@ -87,6 +87,32 @@ def class_pairs(weights: DataFrame) -> DataFrame:
     return cosine_join(weights, weights).where("doc_a < doc_b")
 
 
+def similar_classes(weights: DataFrame, threshold: float) -> DataFrame:
+    """``doc_a, doc_b, similarity`` of all pairs of classes whose similarity is at least ``threshold`` (above 0), once each.
+
+    Exact, without making the pairs of common tokens: a document's tokens are ordered from rare to common and only the
+    first ones are joined, up to where the weight of the rest is too small to reach the threshold with any document.
+    Two documents over the threshold have such a token in common, for the rarest one they share is among them.
+    """
+    df = weights.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    unit = weights.join(df, "token").join(_norms(weights), "doc").select("doc", "token", "df", F.try_divide("weight", "norm").alias("u"))
+    rest = Window.partitionBy("doc").orderBy(F.desc("df"), F.desc("token")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = unit.withColumn("rest", F.sum(F.col("u") * F.col("u")).over(rest)).where(F.col("rest") >= threshold * threshold - 1e-9).select("doc", "token")
+    pairs = first.toDF("doc_a", "token").join(first.toDF("doc_b", "token"), "token").where("doc_a < doc_b").select("doc_a", "doc_b").distinct()
+    vectors = unit.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("token", "u"))).alias("v"))
+    both = pairs.join(vectors.toDF("doc_a", "va"), "doc_a").join(vectors.toDF("doc_b", "vb"), "doc_b")
+    dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda x, e: x + e["value"] * F.coalesce(F.try_element_at("vb", e["key"]), F.lit(0.0)))
+    return both.select("doc_a", "doc_b", dot.alias("similarity")).where(F.col("similarity") >= threshold)
+
+
+def link_counts(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``doc, rep, links``: every document with its class and to how many other documents it is linked, those of its class and of the classes paired with it."""
+    sizes = class_sizes(classes)
+    ends = pairs.select(F.col("doc_a").alias("rep"), F.col("doc_b").alias("other")).unionByName(pairs.select(F.col("doc_b").alias("rep"), F.col("doc_a").alias("other")))
+    across = ends.join(sizes.toDF("other", "n"), "other").groupBy("rep").agg(F.sum("n").alias("n"))
+    return classes.join(sizes, "rep").join(across, "rep", "left").select("doc", "rep", (F.col("size") - 1 + F.coalesce("n", F.lit(0))).alias("links"))
+
+
 def expand_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """All pairs of documents (``doc_a < doc_b``) that pairs of classes stand for, and those within a class, of similarity 1."""
     a, b = classes.toDF("_a", "doc_a"), classes.toDF("_b", "doc_b")

@@ -9,6 +9,10 @@ from millrace.operators import textir as ir
 from millrace.plans.tables import table
 
 
+#: From which similarity on titles are linked.
+SIMILAR = 0.9
+
+
 def _docs(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents").select("doc_id", "text")
 
@@ -39,18 +43,38 @@ def tf_idf(s, d):
     return _weights(s, d).withColumn("weight", F.round("weight", 6))
 
 
-def _title_pairs(s, d) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes of equal titles over the inverted index, and each article's class."""
+def _titles(s, d) -> tuple[DataFrame, DataFrame]:
+    """Weights of classes of equal titles, and each article's class."""
     titles = table(s, d, "articles_half_a").where("title is not null").select(F.col("article_id").alias("id"), F.col("title").alias("t"))
     classes = ir.copy_classes(titles, "id", "t")
-    pairs = ir.class_pairs(ir.class_weights(titles, "id", "t", classes, titles.count()))
-    return pairs, classes
+    return ir.class_weights(titles, "id", "t", classes, titles.count()), classes
+
+
+def _title_pairs(s, d) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes of equal titles over the inverted index, and each article's class."""
+    weights, classes = _titles(s, d)
+    return ir.class_pairs(weights), classes
 
 
 def cosine_pairs(s, d):
-    """All pairs of similar article titles."""
+    """Pairs of classes of similar article titles, each class by its first article (``cosine_links`` has their members)."""
+    return ir.similar_classes(_titles(s, d)[0], SIMILAR).withColumn("similarity", F.round("similarity", 6))
+
+
+def cosine_links(s, d):
+    """Every article with a title: its class of equal titles, and how many other articles have an equal or similar one."""
+    weights, classes = _titles(s, d)
+    return ir.link_counts(ir.similar_classes(weights, SIMILAR), classes)
+
+
+def pair_means(s, d):
+    """Mean similarity of article titles with a token in common: of one author (the gold standard) and of different ones."""
     pairs, classes = _title_pairs(s, d)
-    return ir.expand_pairs(pairs.where("similarity >= 0.9"), classes).withColumn("similarity", F.round("similarity", 6))
+    art = table(s, d, "articles_half_a").where("author is not null").select(F.col("article_id").alias("doc"), "author")
+    labels = classes.join(art, "doc").groupBy("rep", "author").agg(F.count(F.lit(1)).alias("size"))
+    p = ir.same_counts(ir.pair_counts(pairs, classes), labels)
+    part = lambda n: F.round(F.try_divide(F.sum(F.col("similarity") * n), F.sum(n)), 6)
+    return p.agg(part(F.col("m")).alias("mean_true"), part(F.col("n") - F.col("m")).alias("mean_other"), F.sum("m").cast("bigint").alias("n_true"), F.sum(F.col("n") - F.col("m")).cast("bigint").alias("n_other"))
 
 
 def precision_recall_curve(s, d):
@@ -137,10 +161,10 @@ def power_buckets(s, d):
     return c.groupBy(fn.power_bucket(F.col("c")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (word_count_top, words_per_unique, token_df, term_frequency, tf_idf, cosine_pairs, precision_recall_curve, similarity_histogram, biggest_record, html_to_text, xpath_headings, tag_rows, mail_normalised, stem_counts, cjk_bigrams, vocabulary_rows, title_term_matrix, array_features, rotations, congruential_numbers, power_buckets)}
+QUERIES = {f.__name__: f for f in (word_count_top, words_per_unique, token_df, term_frequency, tf_idf, cosine_pairs, cosine_links, pair_means, precision_recall_curve, similarity_histogram, biggest_record, html_to_text, xpath_headings, tag_rows, mail_normalised, stem_counts, cjk_bigrams, vocabulary_rows, title_term_matrix, array_features, rotations, congruential_numbers, power_buckets)}
 
 _TOK = "list_filter(string_split_regex(lower({c}), '[^A-Za-z0-9_]+'), lambda x: x <> '')"
-_DOCS = "d as (select doc_id, text from documents where lang = 'en')"
+_DOCS = "d as (select doc_id, text from documents)"
 _WORDS = f"with {_DOCS}, w as (select unnest(string_split_regex(trim(lower(regexp_replace(text, '[^\\sa-zA-Z0-9]', '', 'g'))), '\\s+')) as word from d), c as (select word, count(*)::bigint as n from w where word <> '' group by 1)"
 _STOP = "(" + ", ".join(f"'{w}'" for w in ir.STOP_WORDS) + ")"
 
@@ -150,16 +174,25 @@ def _tf(source: str, key: str, text: str, stop: bool) -> str:
     return f"k as (select {key} as doc, {drop} as t from {source}), u as (select doc, len(t) as size, unnest(t) as token from k), tf as (select doc, token, count(*) / any_value(size)::double as tf from u group by 1, 2)"
 
 
-_SIDES = f"with a0 as (select * from articles_half_a where title is not null), {_tf('a0', 'article_id', 'title', False)}, idf as (select token, (select count(*) from a0) / count(*)::double as idf from tf group by 1), w as (select doc, token, tf * idf as weight from tf join idf using (token)), n as (select doc, sqrt(sum(weight * weight)) as norm from w group by 1), p as (select x.doc as doc_a, y.doc as doc_b, sum(x.weight * y.weight) / (any_value(nx.norm) * any_value(ny.norm)) as similarity from w x join w y using (token) join n nx on nx.doc = x.doc join n ny on ny.doc = y.doc where x.doc % 2 = 0 and y.doc % 2 = 1 group by 1, 2)"
+_SIDES = f"""with a0 as (select article_id, title, author from articles_half_a where title is not null),
+ {_tf('a0', 'article_id', 'title', False)}, idf as (select token, (select count(*) from a0) / count(*)::double as idf from tf group by 1), w as (select doc, token, tf * idf as weight from tf join idf using (token)),
+ n as (select doc, sqrt(sum(weight * weight)) as norm from w group by 1),
+ own as (select article_id as doc, author, title, {_TOK.format(c='title')} as t from a0 where trim(title) <> ''),
+ cls as (select doc, author, t, min(doc) over (partition by case when len(t) > 0 then array_to_string(list_sort(t), ' ') else concat('=', title) end) as rep from own),
+ dots as (select x.doc as doc_a, y.doc as doc_b, sum(x.weight * y.weight) / (any_value(nx.norm) * any_value(ny.norm)) as similarity from w x join w y using (token) join n nx on nx.doc = x.doc join n ny on ny.doc = y.doc where x.doc < y.doc group by 1, 2),
+ p as (select doc_a, doc_b, case when a.rep = b.rep then 1.0 else similarity end as similarity, a.rep as rep_a, b.rep as rep_b, coalesce(a.author = b.author, false) as same from dots join cls a on a.doc = doc_a join cls b on b.doc = doc_b
+  union all select a.doc, b.doc, 1.0, a.rep, b.rep, coalesce(a.author = b.author, false) from cls a join cls b on a.rep = b.rep and a.doc < b.doc where len(a.t) = 0)"""
 SQL = {
     "word_count_top": f"{_WORDS} select * from c order by n desc, word limit 15",
     "words_per_unique": f"{_WORDS} select count(*)::bigint as unique_words, round(avg(n), 4) as mean from c",
     "token_df": f"with {_DOCS}, {_tf('d', 'doc_id', 'text', True)} select token, count(*)::bigint as df from tf group by 1",
     "term_frequency": f"with {_DOCS}, {_tf('d', 'doc_id', 'text', False)} select doc, token, round(tf, 8) as tf from tf",
     "tf_idf": f"with {_DOCS}, {_tf('d', 'doc_id', 'text', True)}, idf as (select token, (select count(*) from d) / count(*)::double as idf from tf group by 1) select doc, token, round(tf * idf, 6) as weight from tf join idf using (token)",
-    "cosine_pairs": f"{_SIDES} select doc_a, doc_b, round(similarity, 6) as similarity from p where similarity >= 0.9",
+    "cosine_pairs": f"{_SIDES} select distinct least(rep_a, rep_b) as doc_a, greatest(rep_a, rep_b) as doc_b, round(similarity, 6) as similarity from p where rep_a <> rep_b and similarity >= {SIMILAR}",
+    "cosine_links": f"{_SIDES}, l as (select doc_a as doc from p where similarity >= {SIMILAR} union all select doc_b from p where similarity >= {SIMILAR}), c as (select doc, count(*) as links from l group by 1) select cls.doc, rep, coalesce(links, 0)::bigint as links from cls left join c using (doc)",
+    "pair_means": f"{_SIDES} select round(avg(similarity) filter (same), 6) as mean_true, round(avg(similarity) filter (not same), 6) as mean_other, (count(*) filter (same))::bigint as n_true, (count(*) filter (not same))::bigint as n_other from p",
     "similarity_histogram": f"{_SIDES} select floor(round(similarity, 6) * 100)::bigint as bin, count(*)::bigint as n from p group by 1",
-    "precision_recall_curve": f"{_SIDES}, q as (select least(floor(round(similarity, 6) * 100), 99)::bigint as bin, coalesce(a.author = b.author, false) as same from p join articles_half_a a on a.article_id = doc_a join articles_half_a b on b.article_id = doc_b), g as (select bin, count(*) as n, count(*) filter (same) as m from q group by 1), c as (select bin, (sum(m) over w)::double as tp, (sum(n) over w)::double as al from g window w as (order by bin desc)) select bin / 100.0::double as threshold, round(tp / al, 6) as precision, round(tp / 1000, 6) as recall, round(coalesce(2 * (tp / al) * (tp / 1000) / nullif(tp / al + tp / 1000, 0), 0), 6) as f from c",
+    "precision_recall_curve": f"{_SIDES}, q as (select least(floor(round(similarity, 6) * 100), 99)::bigint as bin, same from p), g as (select bin, count(*) as n, count(*) filter (same) as m from q group by 1), c as (select bin, (sum(m) over w)::double as tp, (sum(n) over w)::double as al from g window w as (order by bin desc)), a1 as (select author, count(*) as n from articles_half_a where author is not null group by 1), y as (select sum(n * (n - 1) / 2) as every from a1) select bin / 100.0::double as threshold, round(tp / al, 6) as precision, round(tp / every, 6) as recall, round(coalesce(2 * (tp / al) * (tp / every) / nullif(tp / al + tp / every, 0), 0), 6) as f from c, y",
     "biggest_record": f"with {_DOCS} select doc_id, len({_TOK.format(c='text')})::bigint as n_tokens from d order by n_tokens desc, doc_id limit 1",
     "tag_rows": "select tag, count(*)::bigint as n from (select unnest(string_split(tags, ',')) as tag from articles_half_a) group by 1",
     "html_to_text": "select article_id, replace(replace(replace(replace(replace(array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(content, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '<[^>]+>', chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''), ','), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&') as text from articles_half_a where content is not null",

@@ -1,4 +1,4 @@
-"""Queries over all of their tables, by brute force on small ones. Their SQL still has the cuts they once had."""
+"""Queries over all of their tables, by brute force on small ones."""
 
 import datetime as dt
 import math
@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import dtree, textir as ir
 from millrace.plans import registry
@@ -62,11 +63,29 @@ def title_similarities():
     return out
 
 
-def test_all_similar_titles_are_paired(spark, folder):
-    got = [((r["doc_a"], r["doc_b"]), r["similarity"]) for r in run(spark, folder, "cosine_pairs")]
-    assert len(got) == len(dict(got))
-    assert dict(got) == {k: x for k, x in title_similarities().items() if x >= 0.9}
-    assert {(2, 4), (12, 14), (23, 25)} <= dict(got).keys()
+def test_all_similar_titles_are_linked(spark, folder):
+    rows = {r["doc"]: r for r in run(spark, folder, "cosine_links")}
+    pairs = {(r["doc_a"], r["doc_b"]): r["similarity"] for r in run(spark, folder, "cosine_pairs")}
+    want = {k: x for k, x in title_similarities().items() if x >= 0.9}
+    assert rows.keys() == {i for i, _, t in ARTICLES if t}
+    assert {i: r["links"] for i, r in rows.items()} == {i: sum(i in k for k in want) for i in rows}
+    for (a, b), x in want.items():  # copies by their class, the others by their classes' pair
+        one, two = sorted((rows[a]["rep"], rows[b]["rep"]))
+        assert x == 1.0 if one == two else pairs[one, two] == x
+    assert all(a in rows and rows[a]["rep"] == a for k in pairs for a in k)
+    assert rows[4]["rep"] == 2 and rows[14]["rep"] == 12 and rows[25]["rep"] == 23
+
+
+@pytest.mark.parametrize("threshold", [0.1, 0.5, 0.8, 0.95])
+def test_rare_tokens_find_every_pair(spark, threshold):
+    import random
+
+    random.seed(int(threshold * 100))
+    docs = [(i, " ".join(random.choices("abcdefgh", weights=(40, 20, 10, 8, 5, 3, 2, 1), k=random.randint(1, 9)))) for i in range(80)]
+    w = ir.tf_idf(tf := ir.term_frequencies(spark.createDataFrame(docs, "id int, t string"), "id", "t"), ir.inverse_frequencies(tf, 80)).checkpoint()
+    full = {(r[0], r[1]): round(r[2], 9) for r in ir.class_pairs(w).where(F.col("similarity") >= threshold + 1e-9).collect()}
+    got = {(r[0], r[1]): round(r[2], 9) for r in ir.similar_classes(w, threshold + 1e-9).collect()}
+    assert got == full and got
 
 
 def test_the_similarity_histogram_counts_all_pairs(spark, folder):
