@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
@@ -30,7 +31,6 @@ _LETTER = regex.compile(r"\p{L}")
 _NO_LETTER = regex.compile(r"\P{L}+")
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}'’]*")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
-_UNSPACED_OR_HANGUL = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}]")
 _SCRIPTS = (("hangul", regex.compile(r"\p{Hangul}")), ("kana", regex.compile(r"[\p{Hiragana}\p{Katakana}]")), ("han", regex.compile(r"\p{Han}")))
 _SENTENCE = regex.compile(r"[^.!?。！？\n]+[.!?。！？]*[\"'”’»)）」』]*")
 _ADDRESS = regex.compile(r"(?:https?://|www\.)\S+|\S+@\S+")
@@ -74,24 +74,57 @@ def script(text: str) -> str:
     return "other"
 
 
+_WORDS_ENOUGH = regex.compile(rf"\P{{L}}*+(?:\p{{L}}[\p{{L}}\p{{M}}'’]*+\P{{L}}*+){{{MIN_WORDS}}}")
+_CHARS_ENOUGH = regex.compile(rf"(?:[^\p{{Han}}\p{{Hiragana}}\p{{Katakana}}]*+[\p{{Han}}\p{{Hiragana}}\p{{Katakana}}]){{{MIN_CHARS}}}")
+
+
+def _long_enough(part: str) -> bool:
+    return bool(_WORDS_ENOUGH.match(part)) or (not part.isascii() and bool(_CHARS_ENOUGH.match(part)))
+
+
 def sentences(text: str) -> list[str]:
     """The parts of a text that are long enough to be sentences, markup and addresses aside."""
     out = []
     for m in _SENTENCE.findall(_ADDRESS.sub(" ", unmark(text))):
         s = m.strip()
-        if len(_UNSPACED.findall(s)) >= MIN_CHARS or len(_WORD.findall(s)) >= MIN_WORDS:
+        if _long_enough(s):
             out.append(s)
     return out
 
 
-def scripts(text: str, least: float) -> frozenset[str]:
-    """The kinds of writing that have at least the share ``least`` of a text's letters."""
-    if text.isascii() or not _UNSPACED_OR_HANGUL.search(text):
-        return frozenset(["other"])
-    found = {name: len(pattern.findall(text)) for name, pattern in _SCRIPTS}
-    size = sum(map(str.isalpha, text))
-    found["other"] = size - sum(found.values())
-    return frozenset(name for name, n in found.items() if n >= least * max(1, size) and n)
+_WRITINGS = ("other", *(name for name, _ in _SCRIPTS))
+
+
+def _writing_table() -> np.ndarray:
+    """For each code point the place of its writing in ``_WRITINGS``, beyond them for no letter."""
+    kept = sys.__dict__.setdefault("_millrace_writings", {})
+    if not kept:
+        every = "".join(map(chr, [*range(0xD800), *[0x20] * 0x800, *range(0xE000, 0x110000)]))
+        table = np.full(len(every), len(_WRITINGS), np.uint8)
+        for k, pattern in enumerate((r"\p{L}+", *(f"{p.pattern}+" for _, p in _SCRIPTS))):
+            for m in regex.finditer(pattern, every):
+                table[m.start() : m.end()] = k
+        kept["table"] = table
+    return kept["table"]
+
+
+def scripts(texts: list[str], least: float) -> list[frozenset[str]]:
+    """The kinds of writing that have at least the share ``least`` of each text's letters; ``other`` for a text without letters."""
+    plain = frozenset(["other"])
+    out = [plain] * len(texts)
+    at = [i for i, t in enumerate(texts) if not t.isascii()]
+    if not at:
+        return out
+    kinds = _writing_table()[np.frombuffer("".join(texts[i] for i in at).encode("utf-32-le", "replace"), np.uint32)]
+    starts = np.cumsum([0, *(len(texts[i]) for i in at[:-1])])
+    counts = np.stack([np.add.reduceat(kinds == k, starts, dtype=np.int64) for k in range(len(_WRITINGS))])
+    held = (counts > 0) & (counts >= least * counts.sum(axis=0))
+    made = {0: plain}
+    for i, code in zip(at, (held * (1 << np.arange(len(_WRITINGS)))[:, None]).sum(axis=0).tolist(), strict=True):
+        if code not in made:
+            made[code] = frozenset(name for k, name in enumerate(_WRITINGS) if code >> k & 1)
+        out[i] = made[code]
+    return out
 
 
 class Languages:
@@ -102,7 +135,7 @@ class Languages:
 
     def __init__(self, samples: dict[str, bytes], level: int = 1) -> None:
         self.samples, self.level = samples, level
-        self.held = {code: scripts(sample.decode(errors="ignore"), 0.1) for code, sample in samples.items()}
+        self.held = dict(zip(samples, scripts([x.decode(errors="ignore") for x in samples.values()], 0.1), strict=True))
 
     def __reduce__(self):
         return Languages, (self.samples, self.level)
@@ -127,8 +160,7 @@ class Languages:
         raw = [t.lower().encode() for t in texts]
         asked: dict[str, list[int]] = {}
         fits: dict[frozenset, list[str]] = {}
-        for i, t in enumerate(texts):
-            held = writing[i] if writing else scripts(t, 0.25)
+        for i, held in enumerate(writing or scripts(texts, 0.25)):
             if held not in fits:
                 own = [c for c in self.samples if self.held[c] & held] or list(self.samples)
                 fits[held] = own if len(own) > 1 else [*own, ""]
@@ -202,7 +234,7 @@ def fit_languages(rows: list[tuple[str, str]], dict_bytes: int = DICT_BYTES, n_c
     for _ in range(rounds):
         models = [fitted(chunk_bytes, {code: [s for c, s in parts if c == chunk] for code, parts in rest.items()}) for chunk in range(n_chunks)]
         flat = [(code, c, s) for code, parts in rest.items() for c, s in parts]
-        writing = [scripts(s, 0.25) for _, _, s in flat]
+        writing = scripts([s for _, _, s in flat], 0.25)
         votes = [0] * len(flat)
         for chunk, m in enumerate(models):
             others = [k for k, x in enumerate(flat) if x[1] != chunk]
@@ -243,7 +275,7 @@ def spans(text: str) -> list[tuple[int, int, str]]:
                 out.append([0, len(text), bare.strip()])
             break
         s = m.group(0).strip()
-        if len(_UNSPACED.findall(s)) >= MIN_CHARS or len(_WORD.findall(s)) >= MIN_WORDS:
+        if _long_enough(s):
             if out:
                 out[-1][1] = start = m.start()
             out.append([start if out else 0, m.end(), s])
