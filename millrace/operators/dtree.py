@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+#: Entropies below this are 0 but for rounding.
+_ZERO = 1e-12
+
+
 def to_long(df: DataFrame, features: Sequence[str], label: str, node: str = "node") -> DataFrame:
     """``node, var, value, label``: a row per row and feature."""
     keep = [node] if node in df.columns else []
@@ -22,14 +27,14 @@ def _entropy(df: DataFrame, keys: Sequence[str], count: str, name: str) -> DataF
 
 
 def gain_ratios(long: DataFrame) -> DataFrame:
-    """``node, var, n, outcome, conditional, split_info, gain_ratio`` (0 where the split information is 0)."""
+    """``node, var, n, outcome, conditional, split_info, gain_ratio`` (0 where the split information is 0 but for rounding)."""
     counts = long.groupBy("node", "var", "value", "label").agg(F.count(F.lit(1)).alias("c"))
     by_value = _entropy(counts, ["node", "var", "value"], "c", "h")
     conditional = by_value.groupBy("node", "var").agg(F.sum(F.col("n_h") * F.col("h")).alias("_s"), F.sum("n_h").alias("_t")).select("node", "var", (F.col("_s") / F.col("_t")).alias("conditional"))
     split = _entropy(by_value, ["node", "var"], "n_h", "split_info").withColumnRenamed("n_split_info", "n")
     outcome = _entropy(counts.groupBy("node", "var", "label").agg(F.sum("c").alias("c")), ["node", "var"], "c", "outcome").drop("n_outcome")
     d = split.join(conditional, ["node", "var"]).join(outcome, ["node", "var"])
-    return d.withColumn("gain_ratio", F.when(F.col("split_info") > 0, (F.col("outcome") - F.col("conditional")) / F.col("split_info")).otherwise(0.0))
+    return d.withColumn("gain_ratio", F.when(F.col("split_info") > _ZERO, (F.col("outcome") - F.col("conditional")) / F.col("split_info")).otherwise(0.0))
 
 
 def best_split(ratios: DataFrame) -> DataFrame:
@@ -38,17 +43,17 @@ def best_split(ratios: DataFrame) -> DataFrame:
     return ratios.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
-def grow(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 4, max_nodes: int = 10_000) -> list[dict]:
+def grow(df: DataFrame, features: Sequence[str], label: str, max_depth: int | None = None, max_nodes: int = 10_000) -> list[dict]:
     """The tree's nodes ``level, node, var, gain_ratio, n, rules``, from the root down.
 
-    A node splits while its best gain ratio is above 0 and below 1 and its depth below ``max_depth``; a node with
-    ratio 1 splits into pure leaves; ``rules`` are the values of its variable. Each level reads the table once; of
+    A node splits while its best gain ratio is above 0 and below 1 and, if ``max_depth`` is given, its depth below that; a
+    node with ratio 1 splits into pure leaves; ``rules`` are the values of its variable. Each level reads the table once; of
     it only the best splits come to the driver. A level of more than ``max_nodes`` nodes is a ValueError, none is left
     out. Paths are kept whole, so branches don't mix.
     """
     rows = df.select(*features, label).withColumn("node", F.lit("root"))
     out: list[dict] = []
-    for level in range(max_depth + 1):
+    for level in count() if max_depth is None else range(max_depth + 1):
         long = to_long(rows, features, label)
         best = best_split(gain_ratios(long))
         values = long.join(best.select("node", "var"), ["node", "var"]).groupBy("node", "var").agg(F.array_sort(F.collect_set("value")).alias("rules"))
@@ -60,7 +65,7 @@ def grow(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 4,
         grows = []
         for r in found:
             out.append({"level": level, "node": r["node"], "var": r["var"], "gain_ratio": r["gain_ratio"], "n": r["n"], "rules": list(r["rules"])})
-            if r["gain_ratio"] > 1e-12 and abs(r["gain_ratio"] - 1) > 1e-12:
+            if r["gain_ratio"] > _ZERO and abs(r["gain_ratio"] - 1) > _ZERO:
                 grows.append((r["node"], r["var"]))
         if not grows:
             break

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.session import ensure_checkpoint_dir
+
 
 def order_gaps(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     """``gap``: days since the key's previous row, null for the first. Rows of one day follow each other with 0."""
@@ -49,24 +51,36 @@ def missing_days(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "row") -> DataFrame:
-    """A global index from 0 in ``order``, without gathering the rows in one task.
+    """A global index from 0 in ``order``, without gathering the rows in one task; give a full order for a fixed result.
 
-    The table is range-partitioned and sorted; each partition's rows are numbered in place and offset by the sizes of
-    the partitions before it (one row a partition).
+    The table is range-partitioned and sorted; a row's number in its partition is added to the sizes of the partitions
+    before it (one row a partition). Sizes and rows come from the same sorted table, written once to the checkpoint
+    folder, so no partition can be cut differently when it is read again.
     """
-    parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).sortWithinPartitions(*order).withColumn("_mono", F.monotonically_increasing_id())
-    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_mono").alias("_base"))
+    ensure_checkpoint_dir(df.sparkSession)
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mono", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("_mono", 33).alias("_part")
+    sizes = parts.groupBy(part).agg(F.count(F.lit(1)).alias("_size"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_size").over(w), F.lit(0))).select("_part", "_off", "_base")
-    return parts.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_off") + F.col("_mono") - F.col("_base")).drop("_part", "_mono", "_off", "_base")
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(w), F.lit(0)).alias("_off"))
+    here = parts.withColumn("_part", F.shiftright("_mono", 33))
+    return here.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_off") + F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_mono", "_off")
 
 
-def roc_points(df: DataFrame, score: str, label: str, places: int = 4) -> DataFrame:
-    """True and false positive rates at every score, highest first.
+def roc_points(df: DataFrame, score: str, label: str, buckets: int = 256) -> DataFrame:
+    """True and false positive rates at every distinct score, highest first; rows without score or label are left out.
 
-    Scores are probabilities, rounded to ``places`` places, so at most ``10 ** places + 1`` combined rows are ranked.
+    Exact for scores of any number and fineness: scores are combined, cut into ``buckets`` ranges by approximate
+    quantiles, summed within each range in parallel, and raised by the totals of the ranges above (one row a range).
     """
-    by = df.groupBy(F.round(score, places).alias(score)).agg(F.sum(F.col(label)).alias("_p"), F.sum(1 - F.col(label)).alias("_n"))
-    w = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias(score)).agg(F.sum(F.col(label)).alias("_p"), F.sum(1 - F.col(label)).alias("_n"))
+    cuts = sorted(set(by.approxQuantile(score, [i / buckets for i in range(1, buckets)], 0.5 / buckets)))
+    bucket = F.size(F.filter(F.lit(cuts).cast("array<double>"), lambda x: x <= F.col(score))) if cuts else F.lit(0)
+    d = by.withColumn("_b", bucket)
+    ranges = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
-    return by.select(score, (F.sum("_p").over(w) / F.sum("_p").over(every)).alias("tpr"), (F.sum("_n").over(w) / F.sum("_n").over(every)).alias("fpr"))
+    sums = d.groupBy("_b").agg(F.sum("_p").alias("_bp"), F.sum("_n").alias("_bn"))
+    sums = sums.select("_b", F.coalesce(F.sum("_bp").over(ranges), F.lit(0)).alias("_up"), F.coalesce(F.sum("_bn").over(ranges), F.lit(0)).alias("_un"), F.sum("_bp").over(every).alias("_tp"), F.sum("_bn").over(every).alias("_tn"))
+    inside = Window.partitionBy("_b").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rate = lambda own, up, whole: F.try_divide(F.sum(own).over(inside) + F.col(up), F.col(whole))
+    return d.join(F.broadcast(sums), "_b").select(score, rate("_p", "_up", "_tp").alias("tpr"), rate("_n", "_un", "_tn").alias("fpr"))

@@ -31,6 +31,24 @@ def lrfm_daily(s: SparkSession, d: str) -> DataFrame:
     return _r(crm.lrfm_daily(t, _span(t)[1]), "M", places=2)
 
 
+def lrfm_daily_summary(s: SparkSession, d: str) -> DataFrame:
+    """The daily rows of all members added up by day."""
+    return lrfm_daily(s, d).groupBy("cal_date").agg(F.count(F.lit(1)).alias("members"), *[F.sum(c).cast("bigint").alias(c.lower()) for c in "LRF"], F.round(F.sum("M"), 2).alias("m"))
+
+
+def individual_interval_summary(s: SparkSession, d: str) -> DataFrame:
+    """The daily rows of all members by shop and day: members, those with gaps, gaps and their days, first and last order."""
+    t = transactions(s, d)
+    some = F.when(F.col("n_interval") > 0, F.col("n_interval"))
+    g = crm.individual_interval(t, _span(t)[1]).groupBy("shop_id", "cal_date")
+    return g.agg(F.count(F.lit(1)).alias("members"), F.count(some).alias("with_gaps"), F.sum(some).alias("gaps"), F.round(F.sum(some * F.col("mean_interval"))).cast("bigint").alias("days"), F.min("first_order").alias("first_order"), F.max("last_order").alias("last_order"))
+
+
+def missing_days_summary(s: SparkSession, d: str) -> DataFrame:
+    """How many members of a shop lack an order on each day between their orders."""
+    return missing_days(s, d).groupBy("shop_id", "missing").agg(F.count(F.lit(1)).alias("members"))
+
+
 def member_gap_stats(s: SparkSession, d: str) -> DataFrame:
     g = crm.member_gaps(transactions(s, d)).groupBy("shop_id", "member_id").agg(F.count("gap").alias("n"), F.sum("gap").cast("bigint").alias("days"), F.round(F.stddev_pop("gap"), 4).alias("sd"))
     return g
@@ -189,7 +207,7 @@ def row_index(s: SparkSession, d: str) -> DataFrame:
     return win.row_numbers(o, [F.desc("n"), F.col("member_id")]).select("member_id", "n", F.col("row").cast("bigint").alias("row"))
 
 
-QUERIES = {f.__name__: f for f in (lrfm_snapshot, lrfm_daily, member_gap_stats, mu2_interval_daily, individual_interval_daily, mu_mean_std, adjusted_interval, nes_tag, nes_distribution, arpu_by_tag, conversion_rate, conversion_members, wakeup_rate, store_report, store_report_json, top_sale_rank, pareto_tag, high_mean, percentile_all, percentile_distinct, mean_std_by_key, prefix_rollup, powerset_rollup, combination_counts, member_query, incremental_lrfm, period_totals, running_totals, latest_order, islands_active_days, missing_days, row_index)}
+QUERIES = {f.__name__: f for f in (lrfm_snapshot, lrfm_daily, lrfm_daily_summary, individual_interval_summary, missing_days_summary, member_gap_stats, mu2_interval_daily, individual_interval_daily, mu_mean_std, adjusted_interval, nes_tag, nes_distribution, arpu_by_tag, conversion_rate, conversion_members, wakeup_rate, store_report, store_report_json, top_sale_rank, pareto_tag, high_mean, percentile_all, percentile_distinct, mean_std_by_key, prefix_rollup, powerset_rollup, combination_counts, member_query, incremental_lrfm, period_totals, running_totals, latest_order, islands_active_days, missing_days, row_index)}
 
 
 def _snap(day: str, name: str) -> str:
@@ -242,12 +260,15 @@ def _report_sql() -> str:
     )
 
 
+#: Every member's days from the first order to the last day of the table.
+_EVERY = "own as (select shop_id, member_id, unnest(generate_series(min(ordate), (select max(ordate) from t), interval 1 day))::date as cal_date from t group by 1, 2)"
 SQL = {
     "lrfm_snapshot": f"with {T_SQL}, {_snap(CAL, 's')} select shop_id, member_id, L, R, F, round(M, 2) as M from s",
-    "lrfm_daily": f"with {T_SQL}, {_IND.split('ind as')[0].rstrip().rstrip(',')} select cal_date, shop_id, member_id, (max(ordate) - min(ordate))::bigint as L, (cal_date - max(ordate))::bigint as R, count(*)::bigint as F, round(sum(amount), 2) as M from days join t on ordate <= cal_date group by 1, 2, 3",
     "member_gap_stats": f"with {T_SQL}, g as (select shop_id, member_id, ordate - lag(ordate) over (partition by shop_id, member_id order by ordate) as gap from t) select shop_id, member_id, count(gap)::bigint as n, sum(gap)::bigint as days, round(stddev_pop(gap), 4) as sd from g where gap is not null group by 1, 2",
-    "mu2_interval_daily": f"with {T_SQL}, g as (select shop_id, ordate, ordate - lag(ordate) over (partition by shop_id, member_id order by ordate) as gap from t), {_DAYS} select cal.shop_id, cal_date, count(gap)::bigint as n, round(coalesce(avg(gap), -999), 4) as mean, round(coalesce(stddev_pop(gap), -999), 4) as sd from cal left join g on g.shop_id = cal.shop_id and ordate <= cal_date and gap is not null group by 1, 2",
-    "individual_interval_daily": f"with {T_SQL}, {_IND} select cal_date, shop_id, member_id, round(coalesce(mean, -999), 4) as mean_interval, case when n = 0 then -999 else n end as n_interval, first_order, last_order from ind",
+    "lrfm_daily_summary": f"with {T_SQL}, {_EVERY}, x as (select cal_date, member_id, max(ordate) - min(ordate) as l, cal_date - max(ordate) as r, count(*) as f, sum(amount) as m from own join t using (shop_id, member_id) where ordate <= cal_date group by cal_date, shop_id, member_id) select cal_date, count(*)::bigint as members, sum(l)::bigint as l, sum(r)::bigint as r, sum(f)::bigint as f, round(sum(round(m, 2)), 2) as m from x group by 1",
+    "individual_interval_summary": f"with {T_SQL}, g as (select *, ordate - lag(ordate) over (partition by shop_id, member_id order by ordate) as gap from t), {_EVERY}, x as (select cal_date, shop_id, member_id, count(gap) as n, sum(gap) as g, min(ordate) as a, max(ordate) as b from own join g using (shop_id, member_id) where ordate <= cal_date group by 1, 2, 3) select shop_id, cal_date, count(*)::bigint as members, (count(*) filter (n > 0))::bigint as with_gaps, (sum(n) filter (n > 0))::bigint as gaps, (sum(g) filter (n > 0))::bigint as days, min(a) as first_order, max(b) as last_order from x group by 1, 2",
+    "missing_days_summary": f"with {T_SQL}, u as (select distinct shop_id, member_id, ordate from t), g as (select *, lag(ordate) over (partition by shop_id, member_id order by ordate) as p from u), m as (select shop_id, unnest(generate_series(p + 1, ordate - 1, interval 1 day))::date as missing from g where ordate - p > 1) select shop_id, missing, count(*)::bigint as members from m group by 1, 2",
+    "mu2_interval_daily": f"with {T_SQL}, g as (select shop_id, ordate, ordate - lag(ordate) over (partition by shop_id, member_id order by ordate) as gap from t), span as (select unnest(generate_series((select min(ordate) from t), (select max(ordate) from t), interval 1 day))::date as cal_date), cal as (select shop_id, cal_date from (select distinct shop_id from t), span), a as (select shop_id, ordate as cal_date, count(gap) as n, sum(gap) as s, sum(gap * gap) as q from g group by 1, 2), x as (select shop_id, cal_date, coalesce(sum(n) over w, 0) as n, (sum(s) over w)::double as s, (sum(q) over w)::double as q from cal left join a using (shop_id, cal_date) window w as (partition by shop_id order by cal_date)) select shop_id, cal_date, n::bigint as n, round(case when n > 0 then s / n else -999 end, 4) as mean, round(case when n > 0 then sqrt(greatest(q / n - (s / n) * (s / n), 0)) else -999 end, 4) as sd from x",
     "mu_mean_std": f"with {T_SQL}, {_IND} select cal_date, shop_id, count(mean)::bigint as n, round(case when count(mean) > 1 then avg(mean) else -999 end, 4) as mean, round(case when count(mean) > 1 then sqrt(greatest(sum(mean * mean) / nullif(count(mean) - 1, 0) - avg(mean) * avg(mean), 0)) else -999 end, 4) as sd from ind where mean is not null group by 1, 2",
     "adjusted_interval": f"{_TAGS} select shop_id, member_id, round(g, 4) as gap_mean_adj, first_order, last_order from adj1",
     "nes_tag": f"{_TAGS} select * from tag1",
@@ -272,6 +293,5 @@ SQL = {
     "running_totals": f"with {T_SQL}, y as (select shop_id, member_id, ordate, count(*) as n, sum(amount) as a from t group by 1, 2, 3) select shop_id, member_id, ordate, (sum(n) over w)::bigint as frequency, round(sum(a) over w, 2) as monetary from y window w as (partition by shop_id, member_id order by ordate)",
     "latest_order": f"with {T_SQL}, r as (select *, row_number() over (partition by member_id order by ordate desc, amount desc) as rn from t) select member_id, ordate, amount from r where rn = 1",
     "islands_active_days": f"with {T_SQL}, u as (select distinct shop_id, (ordate - date '1970-01-01')::bigint as day from t), g as (select *, day - row_number() over (partition by shop_id order by day) as g from u) select shop_id, min(day) as low, max(day) as high, count(*)::bigint as n, case when min(day) = max(day) then cast(min(day) as varchar) else concat(min(day), '~', max(day)) end as label from g group by shop_id, g",
-    "missing_days": f"with {T_SQL}, u as (select distinct shop_id, member_id, ordate from t where ordate between date '1998-01-01' and date '{END}'), g as (select *, lag(ordate) over (partition by shop_id, member_id order by ordate) as p from u) select shop_id, member_id, unnest(generate_series(p + 1, ordate - 1, interval 1 day))::date as missing from g where ordate - p > 1",
     "row_index": f"with {T_SQL}, n as (select member_id, count(*)::bigint as n from t group by 1) select member_id, n, (row_number() over (order by n desc, member_id) - 1)::bigint as row from n",
 }

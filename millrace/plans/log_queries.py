@@ -122,7 +122,7 @@ def json_prop_extract(s, d):
 
 
 def event_alerts(s, d):
-    """Per day and type, rows over three standard deviations of the type's values."""
+    """Per day and type, rows over two standard deviations of the type's values."""
     st = clicks(s, d).groupBy("act").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("sd"))
     return clicks(s, d).join(st, "act").where(F.abs(F.col("value") - F.col("m")) > 2 * F.col("sd")).groupBy("act", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -204,7 +204,9 @@ def semi_join_active(s, d):
 
 
 def anti_join_inactive(s, d):
-    return table(s, d, "customer").join(table(s, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_mktsegment")
+    """Customers without an urgent order in the last year of the orders."""
+    o = table(s, d, "orders").where("o_orderpriority = '1-URGENT' and to_date(o_orderdate) >= date '2000-08-01'")
+    return table(s, d, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_mktsegment")
 
 
 def left_join_zero_fill(s, d):
@@ -243,8 +245,9 @@ def intersect_users(s, d):
 
 
 def except_users(s, d):
-    c = clicks(s, d)
-    return c.where("act = 'click'").select("eruid").subtract(c.where("act = 'error'").select("eruid"))
+    """Users and days with a click but no error."""
+    c = clicks(s, d).withColumn("day", F.to_date("ts"))
+    return c.where("act = 'click'").select("eruid", "day").subtract(c.where("act = 'error'").select("eruid", "day"))
 
 
 def distinct_brands(s, d):
@@ -404,14 +407,14 @@ SQL = {
     "c45_gain_ratio": f"with {_GAIN} select var, n, round(outcome, 8) as outcome, round(conditional, 8) as conditional, round(split_info, 8) as split_info, round(case when split_info > 0 then (outcome - conditional) / split_info else 0 end, 8) as gain_ratio from cond join oc using (var)",
     "c45_counts": "select unnest(['o_orderpriority', 'year']) as var, unnest([o_orderpriority, year(o_orderdate)::varchar]) as value, o_orderstatus as label, 1 as one from orders",
     "semi_join_active": "select c_custkey, c_mktsegment from customer where c_custkey in (select o_custkey from orders group by 1 having sum(o_totalprice) > 1000000)",
-    "anti_join_inactive": "select c_custkey, c_mktsegment from customer where c_custkey not in (select o_custkey from orders)",
+    "anti_join_inactive": "select c_custkey, c_mktsegment from customer where c_custkey not in (select o_custkey from orders where o_orderpriority = '1-URGENT' and o_orderdate::date >= date '2000-08-01')",
     "left_join_zero_fill": "select c_custkey, count(o_orderkey)::bigint as n from customer left join orders on c_custkey = o_custkey group by 1",
     "full_outer_status": "select o_custkey, count(*) filter (o_orderstatus = 'F')::bigint as f, count(*) filter (o_orderstatus = 'O')::bigint as o from orders group by 1 having count(*) filter (o_orderstatus in ('F', 'O')) > 0",
     "calendar_shops": f"with {T_SQL}, cal as (select shop_id, unnest(generate_series(date '1998-06-01', date '1998-06-30', interval 1 day))::date as ordate from (select distinct shop_id from t)) select cal.shop_id, cal.ordate, count(t.member_id)::bigint as n from cal left join t using (shop_id, ordate) group by 1, 2",
     "self_join_period": f"with {T_SQL}, m as (select shop_id, date_trunc('month', ordate)::date as month, round(sum(amount), 2) as amount from t group by 1, 2) select a.shop_id, a.month, a.amount, b.amount as year_ago from m a join m b on a.shop_id = b.shop_id and a.month = b.month + interval 12 month",
     "union_all": "select n_name as name from nation union all select r_name from region union all select r_name from region",
     "intersect_users": f"with {CLICKS_SQL} select eruid from clicks where act = 'purchase' intersect select eruid from clicks where act = 'click'",
-    "except_users": f"with {CLICKS_SQL} select eruid from clicks where act = 'click' except select eruid from clicks where act = 'error'",
+    "except_users": f"with {CLICKS_SQL} select eruid, ts::date as day from clicks where act = 'click' except select eruid, ts::date from clicks where act = 'error'",
     "distinct_brands": "select distinct p_brand, p_size from part",
     "topk_revenue_tiebreak": "select l_partkey as item_id, sum(l_quantity)::bigint as qt from lineitem group by 1 order by qt desc, item_id limit 21",
     "crosstab_priority_status": "select o_orderpriority, count(*) filter (o_orderstatus = 'F')::bigint as f, count(*) filter (o_orderstatus = 'O')::bigint as o, count(*) filter (o_orderstatus = 'P')::bigint as p from orders group by 1",
@@ -427,7 +430,7 @@ SQL = {
     "share_of_total": "select o_orderpriority, count(*)::bigint as n, round(count(*) / (select count(*) from orders)::double, 6) as share from orders group by 1",
     "describe_amount": f"with {T_SQL} select shop_id, count(amount)::bigint as n, round(avg(amount), 3) as mean, round(stddev_samp(amount), 3) as sd, min(amount) as low, max(amount) as high from t group by 1",
     "latest_per_user": "select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) where rn = 1",
-    "forward_fill_days": "with l as (select user_id, ts::date as day, event_type, row_number() over (partition by user_id, ts::date order by ts desc, event_id desc) as rn from events), u as (select user_id, day, event_type, lead(day) over (partition by user_id order by day) as nxt from l where rn = 1) select user_id, unnest(generate_series(day, least(coalesce(nxt - 1, date '2024-01-14'), date '2024-01-14'), interval 1 day))::date as cal_date, event_type from u where day <= date '2024-01-14'",
+    "forward_fill_days": "with l as (select user_id, ts::date as day, event_type, row_number() over (partition by user_id, ts::date order by ts desc, event_id desc) as rn from events), u as (select user_id, day, event_type, lead(day) over (partition by user_id order by day) as nxt from l where rn = 1) select user_id, unnest(generate_series(day, coalesce(nxt - 1, (select max(ts::date) from events)), interval 1 day))::date as cal_date, event_type from u",
     "roc_points": "with o as (select round(o_totalprice / 500000, 2) as score, case when o_orderstatus = 'F' then 1 else 0 end as label from orders), g as (select score, sum(label) as p, sum(1 - label) as n from o group by 1) select score, round(sum(p) over w / (select sum(p) from g)::double, 8) as tpr, round(sum(n) over w / (select sum(n) from g)::double, 8) as fpr from g window w as (order by score desc)",
     "log_loss": "with o as (select least(round(o_totalprice / 500000, 2), 1.0) as p, o_orderstatus = 'F' as y, o_orderpriority from orders), q as (select *, case when p = 0 then 10e-12 when p = 1 then 1 - 10e-12 else p end as q from o) select o_orderpriority, round(avg(case when y then -ln(q) else -ln(1 - q) end), 6) as loss from q group by 1",
     "haversine_pairs": "with n as (select n_regionkey, n_nationkey, n_nationkey * 7 % 180 - 90.0::double as lat, n_nationkey * 29 % 360 - 180.0::double as lon from nation) select a.n_nationkey::bigint as one, b.n_nationkey::bigint as two, round(2 * 6378.137 * asin(sqrt(least(pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2), 1.0))), 4) as km from n a join n b on a.n_regionkey = b.n_regionkey and a.n_nationkey < b.n_nationkey",

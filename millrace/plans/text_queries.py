@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.functions import scalar as fn
 from millrace.operators import textir as ir
 from millrace.plans.tables import table
+from millrace.session import ensure_checkpoint_dir
 
 
 #: From which similarity on titles are linked.
@@ -46,8 +47,9 @@ def tf_idf(s, d):
 def _titles(s, d) -> tuple[DataFrame, DataFrame]:
     """Weights of classes of equal titles, and each article's class."""
     titles = table(s, d, "articles_half_a").where("title is not null").select(F.col("article_id").alias("id"), F.col("title").alias("t"))
-    classes = ir.copy_classes(titles, "id", "t")
-    return ir.class_weights(titles, "id", "t", classes, titles.count()), classes
+    ensure_checkpoint_dir(s)
+    classes = ir.copy_classes(titles, "id", "t").checkpoint()  # both are read several times
+    return ir.class_weights(titles, "id", "t", classes, titles.count()).checkpoint(), classes
 
 
 def _title_pairs(s, d) -> tuple[DataFrame, DataFrame]:
