@@ -173,9 +173,9 @@ def in_month_list(day: Column, months: Column) -> Column:
 
 
 #: What marks each class of device in a user agent, tested in this order.
-DEVICE_RULES = (("mobile", r"(?i)mobile|iphone|ipod|android.*mobile|blackberry|windows phone|pocket"), ("tablet", r"(?i)tablet|ipad|android|kindle"), ("touch", r"(?i)touch"), ("pc", r"(?i)windows nt|macintosh|x11|linux|desk/|macrosys"), ("bot", r"(?i)bot|crawler|spider|slurp"))
-BROWSER_RULES = (("Edge", r"(?i)edg(e|a|ios)?/"), ("Opera", r"(?i)opr/|opera"), ("Chrome", r"(?i)chrome/|crios"), ("Firefox", r"(?i)firefox/"), ("IE", r"(?i)msie |trident/"), ("Safari", r"(?i)safari/"), ("Quill", r"Quill/"), ("MiniView", r"MiniView/"))
-OS_RULES = (("Android", r"(?i)android"), ("iOS", r"(?i)iphone|ipad|ipod"), ("Windows", r"(?i)windows"), ("Mac OS", r"(?i)mac os|macintosh"), ("Linux", r"(?i)linux|x11"), ("Macrosys", r"Macrosys"), ("Lumo", r"Lumo"))
+DEVICE_RULES = (("mobile", r"(?i)mobile|iphone|ipod|android.*mobile|blackberry|windows phone|pocket"), ("tablet", r"(?i)tablet|ipad|android|kindle"), ("touch", r"(?i)touch"), ("pc", r"(?i)windows nt|macintosh|x11|linux"), ("bot", r"(?i)bot|crawler|spider|slurp"))
+BROWSER_RULES = (("Edge", r"(?i)edg(e|a|ios)?/"), ("Opera", r"(?i)opr/|opera"), ("Chrome", r"(?i)chrome/|crios"), ("Firefox", r"(?i)firefox/"), ("IE", r"(?i)msie |trident/"), ("Safari", r"(?i)safari/"))
+OS_RULES = (("Android", r"(?i)android"), ("iOS", r"(?i)iphone|ipad|ipod"), ("Windows", r"(?i)windows"), ("Mac OS", r"(?i)mac os|macintosh"), ("Linux", r"(?i)linux|x11"))
 
 
 def first_rule(c: Column, rules: tuple, other: str = "Others") -> Column:

@@ -132,11 +132,11 @@ def silhouettes(df: DataFrame, ks: Sequence[int], features: str = "features") ->
 
 
 def gaussian_anomaly(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``df`` with ``log_density``: the sum of the columns' log normal densities with their own mean and population variance."""
+    """``df`` with ``log_density``: the sum of the columns' log normal densities with their own mean and population variance; columns without spread add nothing."""
     stats = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("v", F.var_pop))]).first()
     parts = [-(F.pow(F.col(c) - F.lit(stats[f"m_{c}"]), 2) / F.lit(2 * stats[f"v_{c}"])) - F.lit(0.5 * math.log(2 * math.pi * stats[f"v_{c}"])) for c in columns if stats[f"v_{c}"]]
-    total = parts[0]
-    for p in parts[1:]:
+    total = F.lit(0.0)
+    for p in parts:
         total = total + p
     return df.withColumn("log_density", total)
 

@@ -4,30 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.scalar import apache_time, browser_family, device_class, os_family, triples
+from millrace.functions.scalar import BROWSER_RULES, DEVICE_RULES, OS_RULES, apache_time, first_rule, triples
 
-#: The fields of the common and the extended log format.
-COMMON_PATTERN = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)'
-COMMON_FIELDS = ("host", "client_identd", "user_id", "stamp", "method", "endpoint", "protocol", "response_code", "content_size")
-EXTENDED_PATTERN = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+) "([^"]*)" "([^"]*)"'
-EXTENDED_FIELDS = (*COMMON_FIELDS, "last_page", "agent")
 
 
-def _parse(df: DataFrame, line: str, pattern: str, fields: tuple) -> DataFrame:
-    ok = F.col(line).rlike(pattern)
-    got = df.withColumns({f: F.when(ok, F.regexp_extract(line, pattern, i + 1)) for i, f in enumerate(fields)})
-    return got.withColumns({"parsed": F.coalesce(ok, F.lit(False)), "stamp": apache_time(F.col("stamp")), "response_code": F.col("response_code").try_cast("int"), "content_size": F.coalesce(F.col("content_size").try_cast("bigint"), F.when(ok, F.lit(0)))})
+def _words(c: Column) -> Column:
+    return F.filter(F.split(F.trim(c), " +"), lambda x: x != "")
+
+
+def _fields(line: Column) -> dict[str, Column]:
+    """What stands where in a line: the quotes cut it into who and when, the request, the reply, and further quoted texts."""
+    quoted = F.split(line, '"')
+    piece = lambda i: F.get(quoted, F.lit(i))
+    when = F.split_part(F.split_part(piece(0), F.lit("["), F.lit(2)), F.lit("]"), F.lit(1))
+    return {"who": _words(F.split_part(piece(0), F.lit("["), F.lit(1))), "when": when, "request": _words(piece(1)), "reply": _words(piece(2)), "last_page": piece(3), "agent": piece(5)}
+
+
+def _parse(df: DataFrame, line: str, extended: bool) -> DataFrame:
+    """Cuts each line once, then reads the fields from the pieces; a line fits if every piece has the form it should."""
+    cut = df.withColumn("_cut", F.struct(*[c.alias(n) for n, c in _fields(F.col(line)).items()]))
+    at = lambda name, i: F.get(F.col(f"_cut.{name}"), F.lit(i))
+    stamp = apache_time(F.col("_cut.when"))
+    code = F.when(F.translate(at("reply", 0), "123456789", "000000000") == "000", at("reply", 0).try_cast("int"))
+    fits = (F.size("_cut.who") == 3) & F.size("_cut.request").between(2, 3) & stamp.isNotNull() & code.isNotNull() & (F.size("_cut.reply") >= 2)
+    if extended:
+        fits &= F.col("_cut.last_page").isNotNull() & F.col("_cut.agent").isNotNull()
+    ok = F.coalesce(fits, F.lit(False))
+    values = {"host": at("who", 0), "client_identd": at("who", 1), "user_id": at("who", 2), "stamp": stamp, "method": at("request", 0), "endpoint": at("request", 1), "protocol": F.coalesce(at("request", 2), F.lit("")), "response_code": code, "content_size": F.coalesce(at("reply", 1).try_cast("bigint"), F.lit(0))}
+    if extended:
+        values |= {"last_page": F.col("_cut.last_page"), "agent": F.col("_cut.agent")}
+    return cut.withColumns({**{n: F.when(ok, v) for n, v in values.items()}, "parsed": ok}).drop("_cut")
 
 
 def parse_common(df: DataFrame, line: str = "line") -> DataFrame:
-    """The fields of each line; ``parsed`` false and fields null where it has another form. A size of ``-`` is 0."""
-    return _parse(df, line, COMMON_PATTERN, COMMON_FIELDS)
+    """Host, identity, user, time, request, code and size of each line; ``parsed`` false and fields null where it has another form. A size of ``-`` is 0."""
+    return _parse(df, line, extended=False)
 
 
-def parse_extended(df: DataFrame, line: str = "line") -> DataFrame:
-    """The same with referrer and agent, and the agent's ``device``, ``browser`` and ``os``."""
-    got = _parse(df, line, EXTENDED_PATTERN, EXTENDED_FIELDS)
-    return got.withColumns({"device": device_class(F.col("agent")), "browser": browser_family(F.col("agent")), "os": os_family(F.col("agent"))})
+def parse_extended(df: DataFrame, line: str = "line", devices: tuple = DEVICE_RULES, browsers: tuple = BROWSER_RULES, systems: tuple = OS_RULES) -> DataFrame:
+    """The same with referrer and agent, and the agent's ``device``, ``browser`` and ``os`` by rules."""
+    got = _parse(df, line, extended=True)
+    return got.withColumns({"device": first_rule(F.col("agent"), devices), "browser": first_rule(F.col("agent"), browsers), "os": first_rule(F.col("agent"), systems)})
 
 
 def content_sizes(log: DataFrame) -> DataFrame:
@@ -70,9 +87,9 @@ def distinct_profile(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return df.groupBy(key).agg(*[F.countDistinct(c).alias(f"n_{c}") for c in columns], F.count(F.lit(1)).alias("n"))
 
 
-def multi_agent_users(df: DataFrame, key: str, agent: str) -> DataFrame:
+def multi_agent_users(df: DataFrame, key: str, agent: str, devices: tuple = DEVICE_RULES, browsers: tuple = BROWSER_RULES, systems: tuple = OS_RULES) -> DataFrame:
     """Keys with more than one combination of device, browser, system and agent text."""
-    d = df.select(F.col(key), device_class(F.col(agent)).alias("device"), browser_family(F.col(agent)).alias("browser"), os_family(F.col(agent)).alias("os"), F.col(agent)).where(F.col(key).isNotNull() & F.col(agent).isNotNull()).distinct()
+    d = df.select(F.col(key), first_rule(F.col(agent), devices).alias("device"), first_rule(F.col(agent), browsers).alias("browser"), first_rule(F.col(agent), systems).alias("os"), F.col(agent)).where(F.col(key).isNotNull() & F.col(agent).isNotNull()).distinct()
     return d.groupBy(key).agg(F.count("device").alias("n")).where("n > 1")
 
 

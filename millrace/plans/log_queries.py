@@ -11,6 +11,12 @@ from millrace.plans.tables import table
 from millrace.plans.views import CLICKS_SQL, LOG_SQL, T_SQL, clicks, item_revenue, raw_log, store_paths, transactions
 
 
+#: Rules for the agents of the test tables besides the common ones.
+DEVICES = (*fn.DEVICE_RULES, ("pc", r"(?i)desk/|macrosys"))
+BROWSERS = (*fn.BROWSER_RULES, ("Quill", r"Quill/"), ("MiniView", r"MiniView/"))
+SYSTEMS = (*fn.OS_RULES, ("Macrosys", r"Macrosys"), ("Lumo", r"Lumo"))
+
+
 def _log(s: SparkSession, d: str) -> DataFrame:
     return weblog.parse_common(raw_log(s, d)).where("parsed")
 
@@ -70,7 +76,7 @@ def extended_log(s, d):
     """Shop clicks written as extended log lines and read again, with agent families."""
     line = F.concat(F.col("ip"), F.lit(' - - [01/Jan/2013:00:00:01 +0000] "GET /'), F.coalesce("act", F.lit("")), F.lit('/x HTTP/1.1" 200 '), F.length("hostname"), F.lit(' "http://'), F.col("hostname"), F.lit('/" "'), F.col("agent"), F.lit('"'))
     rows = table(s, d, "userlog_ec").where("ip is not null and hostname is not null and agent is not null").select(line.alias("line"))
-    return weblog.parse_extended(rows).where("parsed").groupBy("device", "browser", "os", "last_page").agg(F.count(F.lit(1)).alias("n"))
+    return weblog.parse_extended(rows, devices=DEVICES, browsers=BROWSERS, systems=SYSTEMS).where("parsed").groupBy("device", "browser", "os", "last_page").agg(F.count(F.lit(1)).alias("n"))
 
 
 def cart_actions(s, d):
@@ -90,7 +96,7 @@ def distinct_profile(s, d):
 
 
 def multi_agent_users(s, d):
-    return weblog.multi_agent_users(table(s, d, "userlog_ec").withColumn("who", F.lower(F.trim("eruid"))), "who", "agent")
+    return weblog.multi_agent_users(table(s, d, "userlog_ec").withColumn("who", F.lower(F.trim("eruid"))), "who", "agent", DEVICES, BROWSERS, SYSTEMS)
 
 
 def hour_pivot(s, d):
@@ -360,11 +366,14 @@ def ip_ranges(s, d):
 
 QUERIES = {f.__name__: f for f in (log_parse, log_failures, log_content_size, log_status_share, log_busy_hosts, log_top_endpoints, log_top_failed_endpoints, log_daily_hosts, log_404_by_day, log_404_by_hour, log_404_summary, log_404_top_hosts, extended_log, cart_actions, order_list_revenue, distinct_profile, multi_agent_users, hour_pivot, author_features, having_distinct, freq_of_freq, mean_of_group_counts, json_prop_extract, event_alerts, profile_numeric, profile_spec, profile_categorical, profile_2d, profile_3d, profile_3d_json, c45_gain_ratio, c45_counts, c45_tree, semi_join_active, anti_join_inactive, left_join_zero_fill, full_outer_status, calendar_shops, self_join_period, union_all, intersect_users, except_users, distinct_brands, topk_revenue_tiebreak, crosstab_priority_status, grouping_sets, predicate_mix, null_handling, mean_above, pearson_by_key, pearson_pairwise_complete, corr_pairs, variance_columns, entropy_priority, share_of_total, describe_amount, latest_per_user, forward_fill_days, roc_points, log_loss, haversine_pairs, date_parts, promo_month, ip_ranges)}
 
-_P = r"""^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)"""
-_L = f"{LOG_SQL}, x as (select event_id, line, regexp_matches(line, '{_P}') as parsed, regexp_extract(line, '{_P}', ['host', 'a', 'b', 'st', 'method', 'endpoint', 'protocol', 'code', 'size']) as m from raw), lg as (select event_id, m.host as host, strptime(m.st[1:20], '%d/%b/%Y:%H:%M:%S') as stamp, m.method as method, m.endpoint as endpoint, m.protocol as protocol, cast(m.code as bigint) as response_code, case when m.size = '-' then 0 else cast(m.size as bigint) end as content_size, parsed from x where parsed)"
+_WORDS_SQL = "list_filter(string_split(trim({x}), ' '), lambda v: v <> '')"
+_L = f"""{LOG_SQL}, q as (select event_id, line, string_split(line, '"') as q from raw),
+ c as (select event_id, line, {_WORDS_SQL.format(x="split_part(q[1], '[', 1)")} as who, try_strptime(split_part(split_part(q[1], '[', 2), ']', 1)[1:20], '%d/%b/%Y:%H:%M:%S') as stamp, {_WORDS_SQL.format(x='q[2]')} as request, {_WORDS_SQL.format(x='q[3]')} as reply from q),
+ x as (select *, coalesce(len(who) = 3 and len(request) between 2 and 3 and stamp is not null and len(reply) >= 2 and regexp_full_match(reply[1], '[0-9]+') and len(reply[1]) = 3, false) as parsed from c),
+ lg as (select event_id, who[1] as host, stamp, request[1] as method, request[2] as endpoint, coalesce(request[3], '') as protocol, cast(reply[1] as bigint) as response_code, coalesce(try_cast(reply[2] as bigint), 0) as content_size, parsed from x where parsed)"""
 _E = f"with {_L}"
 _AGENT = lambda rules: "coalesce(" + ", ".join(f"case when regexp_matches(agent, '{p}') then '{n}' end" for n, p in rules) + ", 'Others')"
-_UA = f"{_AGENT(fn.DEVICE_RULES)} as device, {_AGENT(fn.BROWSER_RULES)} as browser, {_AGENT(fn.OS_RULES)} as os"
+_UA = f"{_AGENT(DEVICES)} as device, {_AGENT(BROWSERS)} as browser, {_AGENT(SYSTEMS)} as os"
 _TOP = lambda where, k, n: f"{_E} select {k}, count(*)::bigint as n from lg {where} group by 1 order by n desc, {k} limit {n}"
 _EC = "coalesce(case when lower(trim(act)) not in ('', '-', '-999', 'null') then trim(act) end, null)"
 _GAIN = """o as (select o_orderstatus as label, unnest(['o_orderpriority', 'year', 'month']) as var, unnest([o_orderpriority, year(o_orderdate)::varchar, month(o_orderdate)::varchar]) as value from orders),
