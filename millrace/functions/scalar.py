@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+import pandas as pd
+from pyspark.sql import Column, functions as F, types as T
 
 EARTH_KM = 6378.137
 #: Fixed value: the clip and epsilon of the log loss.
@@ -206,3 +207,49 @@ def row_hashes(columns: Sequence[str]) -> list[Column]:
     own = [F.col(f"`{c}`") for c in columns]
     absent = [c.isNull() for c in own]
     return [F.xxhash64(*own, *absent), F.xxhash64(F.lit(1), *absent, *reversed(own))]
+
+
+def parse_record(c: Column, fields: Sequence[str], sep: str = ",") -> Column:
+    """A line of separated, perhaps quoted values as a struct of ``fields`` and ``status``: 1 for a record, 0 for a header (the fields' own names), -1 for anything else (then the fields are null)."""
+    got = F.from_csv(c, ", ".join(f"`{f}` string" for f in [*fields, "_more"]), {"sep": sep, "mode": "PERMISSIVE"})
+    whole = got[fields[-1]].isNotNull() & got["_more"].isNull()
+    header = reduce(lambda a, b: a & b, [F.lower(F.trim(got[f])) == f.lower() for f in fields])
+    status = F.when(F.coalesce(whole, F.lit(False)), F.when(header, 0).otherwise(1)).otherwise(-1)
+    return F.struct(*[F.when(status == 1, got[f]).alias(f) for f in fields], status.alias("status"))
+
+
+def pluralise(c: Column, ending: str = "s") -> Column:
+    return F.concat(c, F.lit(ending))
+
+
+def labelled(c: Column, labels: dict, other: object = None) -> Column:
+    """A value's label by a small mapping; ``other`` where it has none."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])[c], F.lit(other))
+
+
+def md5_bucket(c: Column, buckets: int) -> Column:
+    """One of ``buckets`` by the first 60 bits of a text's MD5 sum."""
+    return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("bigint") % buckets
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Seconds from one timestamp to another, with fractions."""
+    return (F.unix_micros(end) - F.unix_micros(start)) / 1e6
+
+
+def polar(x: Column, y: Column) -> Column:
+    """Length and angle (degrees, 0 to 360) of a point, and the angle as a colour of full saturation (red, green, blue from 0 to 1)."""
+    angle = F.pmod(F.degrees(F.atan2(y, x)), F.lit(360.0))
+    channel = lambda at: F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.abs(F.pmod(angle + at, F.lit(360.0)) / 60 - 3) - 1))
+    return F.struct(F.sqrt(x * x + y * y).alias("length"), angle.alias("angle"), channel(0).alias("red"), channel(240).alias("green"), channel(120).alias("blue"))
+
+
+@F.pandas_udf(T.StringType())
+def escape_unicode(texts: pd.Series) -> pd.Series:
+    """Characters beyond ASCII as backslash escapes."""
+    return texts.map(lambda t: None if t is None else t.encode("unicode_escape").decode("ascii"))
+
+
+@F.pandas_udf(T.StringType())
+def unescape_unicode(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else t.encode("ascii").decode("unicode_escape"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -126,3 +126,42 @@ def hour_pivot(df: DataFrame, key: str, hour: Column, value: Column | None = Non
     """One row per key with 24 columns ``h00..h23``, 0 where there is nothing."""
     out = [F.coalesce(F.sum(F.when(F.col("_h") == h, F.col("_v"))), F.lit(0)).cast("bigint").alias(f"h{h:02d}") for h in range(24)]
     return df.select(F.col(key), hour.alias("_h"), (value if value is not None else F.lit(1)).alias("_v")).groupBy(key).agg(*out)
+
+
+def covariances(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``x, y, covariance`` (population) of every pair of columns, each with itself too, in one aggregate over rows without nulls."""
+    pairs = list(combinations_with_replacement(columns, 2))
+    one = df.dropna(subset=list(columns)).agg(*[F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    rows = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{i}").alias("covariance")) for i, (a, b) in enumerate(pairs)])
+    return one.select(F.explode(rows).alias("p")).select("p.*")
+
+
+def standardised(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns with mean 0 and population deviation 1 in place of the given ones; 0 where there is no spread."""
+    one = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    scaled = {c: (F.col(c) - F.lit(one[f"m{i}"])) / F.lit(one[f"s{i}"]) if one[f"s{i}"] else F.when(F.col(c).isNotNull(), 0.0) for i, c in enumerate(columns)}
+    return df.withColumns(scaled)
+
+
+def matrix_product(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``i, j, v`` of the product of two matrices held as cells ``i, j, v``; cells that are 0 need not be there."""
+    right = b.select(F.col("i").alias("k"), F.col("j").alias("_j"), F.col("v").alias("_v"))
+    return a.select("i", F.col("j").alias("k"), "v").join(right, "k").groupBy("i", F.col("_j").alias("j")).agg(F.sum(F.col("v") * F.col("_v")).alias("v"))
+
+
+def transposed(a: DataFrame) -> DataFrame:
+    return a.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
+
+
+def beside(a: DataFrame, b: DataFrame, order_a: Sequence[Column], order_b: Sequence[Column]) -> DataFrame:
+    """The rows of two tables side by side by their places in the given orders; the shorter one is filled with nulls."""
+    from millrace.operators.windows import row_numbers
+
+    return row_numbers(a, order_a, "_at").join(row_numbers(b, order_b, "_at"), "_at", "full").withColumnRenamed("_at", "place")
+
+
+def merged_lines(a: DataFrame, b: DataFrame, line: str, keys: tuple[Sequence[int], Sequence[int]], values: tuple[Sequence[int], Sequence[int]], sep: str = "\t") -> DataFrame:
+    """``line``: lines of two folders with the same key fields made one: the key, then the chosen fields of each (positions from 1). Lines without a partner are left out."""
+    cut = lambda df, k, v, n: df.select(F.split(line, F.lit("\\Q" + sep + "\\E")).alias("f")).select(F.concat_ws(sep, *[F.get("f", F.lit(i - 1)) for i in k]).alias("_k"), F.concat_ws(sep, *[F.get("f", F.lit(i - 1)) for i in v]).alias(n))
+    both = cut(a, keys[0], values[0], "_a").join(cut(b, keys[1], values[1], "_b"), "_k")
+    return both.select(F.concat_ws(sep, "_k", "_a", "_b").alias(line))

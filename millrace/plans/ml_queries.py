@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators import ml
+from millrace.functions import scalar as fn
+from millrace.operators import fits, ml
 from millrace.plans.tables import table
 
 
@@ -162,11 +163,112 @@ def log_rank(s, d):
     return _frame(s, [(float(chi), float(p))], "chi_square double, p double")
 
 
-QUERIES = {f.__name__: f for f in (km_survival, gaussian_anomaly, baseline_rmse, average_ratings, centred_ratings, one_hot_dictionary, linear_regression, gradient_descent, logreg_eval, hashed_ctr, one_hot_vectors, kmeans_clusters, silhouette, pca_scores, als_rmse, als_recommend, classifiers, knn_predictions, cross_validation, gbt_eval, feature_elimination, chi_square, log_rank)}
+def _rows_of(p: DataFrame, label) -> DataFrame:
+    return p.select("vec_id", F.concat(F.array(F.lit(1.0)), F.transform("embedding", lambda x: x.cast("double"))).alias("x"), label.cast("double").alias("label"))
+
+
+def _two(s, d) -> tuple[DataFrame, DataFrame, int]:
+    e = table(s, d, "embeddings")
+    rows = _rows_of(e, F.col("label") > 4)
+    return (*_halves(rows, "vec_id"), len(rows.first()["x"]))
+
+
+def sgd_logistic_grid(s, d):
+    """Log loss of logistic fits by gradient steps over samples, by step and penalty."""
+    train, test, k = _two(s, d)
+    return _frame(s, fits.grid(train, test, "logistic", k, [1.0, 4.0], [0.0, 0.01], iterations=6, fraction=0.5), "alpha double, reg double, train_loss double, test_loss double")
+
+
+def sgd_linear_grid(s, d):
+    """The same for the label as a number: half the mean squared error."""
+    e = table(s, d, "embeddings")
+    train, test = _halves(_rows_of(e, F.col("label")), "vec_id")
+    return _frame(s, fits.grid(train, test, "linear", len(train.first()["x"]), [0.5], [0.0, 0.1], iterations=6), "alpha double, reg double, train_loss double, test_loss double")
+
+
+def learning_curve(s, d):
+    """Log loss on the training rows and on held-out ones, by share of the training rows used."""
+    train, test, k = _two(s, d)
+    return _frame(s, fits.learning_curve(train, test, "logistic", k, "vec_id", [0.1, 0.5, 1.0], alpha=4.0, iterations=6), "share double, train_loss double, test_loss double")
+
+
+def kernel_svm(s, d):
+    """Accuracy of support vector machines with a Gaussian kernel, by penalty and width."""
+    p = table(s, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("x"), (F.col("label") > 4).cast("double").alias("label"))
+    train, test = _halves(p, "vec_id")
+    return _frame(s, fits.kernel_svm_grid(train, test, "x", "vec_id", [1.0, 10.0], [1.0], 50), "c double, sigma double, accuracy double")
+
+
+def tree_importance(s, d):
+    """Columns of order lines by their weight for the return flag in strongly randomised trees."""
+    li = table(s, d, "lineitem").withColumn("label", (F.col("l_returnflag") == "R").cast("double"))
+    return _frame(s, fits.importances(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], trees=10), "feature string, importance double")
+
+
+def pca_recovered(s, d):
+    """Embeddings from three centred scores: how much of the variance is kept, by the axes and by the rebuilt vectors."""
+    p = table(s, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("x"))
+    scores, axes, centre, shares = fits.centred_scores(p, 3)
+    back = fits.from_scores(scores, axes, centre)
+    square = lambda a: F.aggregate(a, F.lit(0.0), lambda t, v: t + v * v)
+    mean = F.lit([float(c) for c in centre])
+    lost, whole = back.agg(F.sum(square(F.zip_with("x", "recovered", lambda a, b: a - b))), F.sum(square(F.zip_with("x", mean, lambda a, b: a - b)))).first()
+    return _frame(s, [(float(sum(shares)), float(1 - lost / whole))], "by_axes double, by_vectors double")
+
+
+def tile_pca(s, d):
+    """Sums over tiles and blocks of each embedding, then their main axes."""
+    e = table(s, d, "embeddings").withColumn("e", F.transform("embedding", lambda x: x.cast("double")))
+    x = e.select("vec_id", F.concat(fn.tile_sums(F.col("e"), 4), fn.block_sums(F.col("e"), 4)).alias("x"))
+    scores, _, _, _ = fits.centred_scores(x, 2)
+    return scores.select("vec_id", "scores")
+
+
+def colour_table(s, d):
+    """Embeddings as one of eight vectors: how many each stands for, and its first figures."""
+    p = table(s, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("x"))
+    rows, colours = fits.compressed(p, 8)
+    of = rows.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+    return of.join(_frame(s, [(i, c[:3]) for i, c in enumerate(colours)], "prediction int, head array<double>"), "prediction")
+
+
+def anomaly_threshold(s, d):
+    """The density below which order lines are called odd, by the best F against a label."""
+    g = ml.gaussian_anomaly(table(s, d, "lineitem").select("l_quantity", "l_discount", (F.col("l_quantity") > 48).cast("int").alias("y")), ["l_quantity", "l_discount"])
+    return _frame(s, [ml.best_threshold(g, "log_density", "y")], "threshold double, f1 double")
+
+
+def correlation_tests(s, d):
+    """Pairs of columns with t values and their p values."""
+    from millrace.operators.relational import correlation_pairs
+
+    rows = correlation_pairs(table(s, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]).collect()  # six rows
+    return _frame(s, [(r["x"], r["y"], r["r"], r["t"], ml.t_p_value(r["t"], r["n"] - 2)) for r in rows], "x string, y string, r double, t double, p double")
+
+
+def hashed_sparsity(s, d):
+    """Share of non-zero places in one-hot and in hashed vectors of the events."""
+    e = table(s, d, "events").select(F.hour("ts").cast("string").alias("hour"), F.col("user_id").cast("string").alias("who"))
+    size = e.agg(F.countDistinct("hour"), F.countDistinct("who")).first()
+    hashed = e.select(F.explode(ml.hashed_buckets(F.array("hour", "who"), 256)).alias("b")).agg(F.countDistinct("b")).first()[0]
+    return _frame(s, [("one_hot", 2.0 / max(sum(size), 1)), ("hashed", 2.0 / 256), ("buckets_used", hashed / 256)], "vectors string, share double")
+
+
+def rating_baseline(s, d):
+    """Items of at least 500 ratings, the best 20, and the error of guessing the mean of all."""
+    li = table(s, d, "lineitem")
+    top = ml.average_ratings(li, "l_suppkey", "l_quantity", 500, 20)
+    rmse = li.agg(F.avg("l_quantity").alias("mean"), F.stddev_pop("l_quantity").alias("rmse"))
+    return top.select(F.lit("item").alias("kind"), F.col("l_suppkey").cast("bigint").alias("id"), "n", "average").unionByName(rmse.select(F.lit("mean guess").alias("kind"), F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("bigint").alias("n"), F.round("rmse", 3).alias("average")))
+
+
+QUERIES = {f.__name__: f for f in (km_survival, gaussian_anomaly, baseline_rmse, average_ratings, centred_ratings, one_hot_dictionary, linear_regression, gradient_descent, logreg_eval, hashed_ctr, one_hot_vectors, kmeans_clusters, silhouette, pca_scores, als_rmse, als_recommend, classifiers, knn_predictions, cross_validation, gbt_eval, feature_elimination, chi_square, log_rank, sgd_logistic_grid, sgd_linear_grid, learning_curve, kernel_svm, tree_importance, pca_recovered, tile_pca, colour_table, anomaly_threshold, correlation_tests, hashed_sparsity, rating_baseline)}
 
 SQL = {
     "km_survival": "with n as (select o_orderpriority, o_orderdate::date as day, lead(o_orderdate::date) over (partition by o_custkey order by o_orderdate::date, o_orderkey) as nxt from orders), t as (select o_orderpriority, (coalesce(nxt, date '2001-08-01') - day)::double as time, case when nxt is not null then 1 else 0 end as event from n), g as (select o_orderpriority, time, sum(event)::bigint as deaths, count(*) as leave from t group by 1, 2), r as (select *, (sum(leave) over (partition by o_orderpriority) - coalesce(sum(leave) over (partition by o_orderpriority order by time rows between unbounded preceding and 1 preceding), 0))::bigint as at_risk from g), s as (select *, max(case when deaths = at_risk then 1 else 0 end) over w as gone, sum(case when deaths < at_risk then ln(1 - deaths / at_risk::double) else 0 end) over w as l from r window w as (partition by o_orderpriority order by time)) select o_orderpriority, time, at_risk, deaths, round(case when gone = 1 then 0 else exp(l) end, 6) as survival from s where deaths > 0",
     "gaussian_anomaly": "with m as (select avg(l_quantity) as mq, var_pop(l_quantity) as vq, avg(l_discount) as md, var_pop(l_discount) as vd from lineitem) select l_orderkey, l_linenumber::bigint as l_linenumber, round(-pow(l_quantity - mq, 2) / (2 * vq) - 0.5 * ln(2 * pi() * vq) - pow(l_discount - md, 2) / (2 * vd) - 0.5 * ln(2 * pi() * vd), 5) as log_density from lineitem, m",
+    "rating_baseline": "with g as (select l_suppkey, count(l_quantity) as n, round(avg(l_quantity), 3) as average from lineitem group by 1 having count(l_quantity) > 500 order by average desc, l_suppkey desc limit 20) select 'item' as kind, l_suppkey::bigint as id, n::bigint as n, average from g union all select 'mean guess', null, null, round(stddev_pop(l_quantity), 3) from lineitem",
+    "one_hot_vectors": "select p_partkey, 2.0::double as ones from part",
     "baseline_rmse": "select round(avg(o_totalprice), 2) as mean, round(stddev_pop(o_totalprice), 2) as rmse from orders",
     "average_ratings": "select l_suppkey, count(l_quantity)::bigint as n, round(avg(l_quantity), 3) as average from lineitem group by 1 having count(l_quantity) > 20 order by average desc, l_suppkey desc limit 20",
     "centred_ratings": "with m as (select l_suppkey, avg(l_quantity) as m from lineitem group by 1) select l_suppkey, round(sum(abs(l_quantity - m)), 3) as spread from lineitem join m using (l_suppkey) group by 1",

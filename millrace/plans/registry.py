@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import crm_queries, log_queries, ml_queries, problems, sampling_queries, text_queries
+from millrace.plans import crm_queries, function_queries, io_queries, log_queries, ml_queries, problems, sampling_queries, text_queries
 
-_MODULES = [problems, crm_queries, log_queries, text_queries, ml_queries, sampling_queries]
+_MODULES = [problems, crm_queries, log_queries, text_queries, ml_queries, sampling_queries, function_queries, io_queries]
 
 
 def queries() -> dict:
