@@ -74,7 +74,7 @@ def linear_regression(s, d):
 def gradient_descent(s, d):
     li = table(s, d, "lineitem").select((F.col("l_quantity") / 50).alias("q"), F.lit(1.0).alias("one"), (F.col("l_extendedprice") / 100000).alias("y"))
     w, e = ml.gradient_descent(li, ["q", "one"], "y")
-    return _frame(s, [(i, x) for i, x in enumerate(e)], "step bigint, rmse double")
+    return _frame(s, [(i, x) for i, x in enumerate(e)], "step bigint, rmse double").withColumn("rmse", F.round("rmse", 8))
 
 
 def logreg_eval(s, d):
@@ -250,7 +250,7 @@ def hashed_sparsity(s, d):
     """Share of non-zero places in one-hot and in hashed vectors of the events."""
     e = table(s, d, "events").select(F.hour("ts").cast("string").alias("hour"), F.col("user_id").cast("string").alias("who"))
     size = e.agg(F.countDistinct("hour"), F.countDistinct("who")).first()
-    hashed = e.select(F.explode(ml.hashed_buckets(F.array("hour", "who"), 256)).alias("b")).agg(F.countDistinct("b")).first()[0]
+    hashed = e.select(F.explode(F.map_keys(ml.hashed_buckets(F.array("hour", "who"), 256))).alias("b")).agg(F.countDistinct("b")).first()[0]
     return _frame(s, [("one_hot", 2.0 / max(sum(size), 1)), ("hashed", 2.0 / 256), ("buckets_used", hashed / 256)], "vectors string, share double")
 
 
@@ -262,13 +262,20 @@ def rating_baseline(s, d):
     return top.select(F.lit("item").alias("kind"), F.col("l_suppkey").cast("bigint").alias("id"), "n", "average").unionByName(rmse.select(F.lit("mean guess").alias("kind"), F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("bigint").alias("n"), F.round("rmse", 3).alias("average")))
 
 
-QUERIES = {f.__name__: f for f in (km_survival, gaussian_anomaly, baseline_rmse, average_ratings, centred_ratings, one_hot_dictionary, linear_regression, gradient_descent, logreg_eval, hashed_ctr, one_hot_vectors, kmeans_clusters, silhouette, pca_scores, als_rmse, als_recommend, classifiers, knn_predictions, cross_validation, gbt_eval, feature_elimination, chi_square, log_rank, sgd_logistic_grid, sgd_linear_grid, learning_curve, kernel_svm, tree_importance, pca_recovered, tile_pca, colour_table, anomaly_threshold, correlation_tests, hashed_sparsity, rating_baseline)}
+def log_rank_chi(s, d):
+    """The log-rank statistic alone."""
+    return log_rank(s, d).select(F.round("chi_square", 6).alias("chi_square"))
+
+
+QUERIES = {f.__name__: f for f in (km_survival, gaussian_anomaly, baseline_rmse, average_ratings, centred_ratings, one_hot_dictionary, linear_regression, gradient_descent, logreg_eval, hashed_ctr, one_hot_vectors, kmeans_clusters, silhouette, pca_scores, als_rmse, als_recommend, classifiers, knn_predictions, cross_validation, gbt_eval, feature_elimination, chi_square, log_rank, sgd_logistic_grid, sgd_linear_grid, learning_curve, kernel_svm, tree_importance, pca_recovered, tile_pca, colour_table, anomaly_threshold, correlation_tests, hashed_sparsity, rating_baseline, log_rank_chi)}
 
 SQL = {
     "km_survival": "with n as (select o_orderpriority, o_orderdate::date as day, lead(o_orderdate::date) over (partition by o_custkey order by o_orderdate::date, o_orderkey) as nxt from orders), t as (select o_orderpriority, (coalesce(nxt, date '2001-08-01') - day)::double as time, case when nxt is not null then 1 else 0 end as event from n), g as (select o_orderpriority, time, sum(event)::bigint as deaths, count(*) as leave from t group by 1, 2), r as (select *, (sum(leave) over (partition by o_orderpriority) - coalesce(sum(leave) over (partition by o_orderpriority order by time rows between unbounded preceding and 1 preceding), 0))::bigint as at_risk from g), s as (select *, max(case when deaths = at_risk then 1 else 0 end) over w as gone, sum(case when deaths < at_risk then ln(1 - deaths / at_risk::double) else 0 end) over w as l from r window w as (partition by o_orderpriority order by time)) select o_orderpriority, time, at_risk, deaths, round(case when gone = 1 then 0 else exp(l) end, 6) as survival from s where deaths > 0",
     "gaussian_anomaly": "with m as (select avg(l_quantity) as mq, var_pop(l_quantity) as vq, avg(l_discount) as md, var_pop(l_discount) as vd from lineitem) select l_orderkey, l_linenumber::bigint as l_linenumber, round(-pow(l_quantity - mq, 2) / (2 * vq) - 0.5 * ln(2 * pi() * vq) - pow(l_discount - md, 2) / (2 * vd) - 0.5 * ln(2 * pi() * vd), 5) as log_density from lineitem, m",
     "rating_baseline": "with g as (select l_suppkey, count(l_quantity) as n, round(avg(l_quantity), 3) as average from lineitem group by 1 having count(l_quantity) > 500 order by average desc, l_suppkey desc limit 20) select 'item' as kind, l_suppkey::bigint as id, n::bigint as n, average from g union all select 'mean guess', null, null, round(stddev_pop(l_quantity), 3) from lineitem",
     "one_hot_vectors": "select p_partkey, 2.0::double as ones from part",
+    "gradient_descent": "with recursive g as (select sum(l_quantity / 50 * l_quantity / 50) as a, sum(l_quantity / 50) as b, count(*)::double as n, sum(l_quantity / 50 * l_extendedprice / 100000) as c, sum(l_extendedprice / 100000) as d, sum(pow(l_extendedprice / 100000, 2)) as e from lineitem), r(i, u, v) as (select 0, 0::double, 0::double union all select i + 1, u - (a * u + b * v - c) / (n * sqrt(i + 1)), v - (b * u + n * v - d) / (n * sqrt(i + 1)) from r, g where i < 49) select i::bigint as step, round(sqrt(greatest((a * u * u + 2 * b * u * v + n * v * v - 2 * (u * c + v * d) + e) / n, 0)), 8) as rmse from r, g",
+    "log_rank_chi": "with x as (select l_quantity as t, case when l_linestatus = 'F' then 1 else 0 end as e, l_returnflag = 'A' as a from lineitem where l_returnflag in ('A', 'R')), g as (select t, sum(e) as d, count(*) as n, sum(case when a then e else 0 end) as d1, (count(*) filter (a)) as n1 from x group by t), r as (select t, d, d1, sum(n) over w as r, sum(n1) over w as r1 from g window w as (order by t desc)), v as (select sum(d1) as o, sum(d * r1 / r::double) as e, sum(case when r > 1 then d * r1 / r::double * (1 - r1 / r::double) * (r - d) / (r - 1) else 0 end) as var from r) select round(case when var > 0 then (o - e) * (o - e) / var else 0 end, 6) as chi_square from v",
     "baseline_rmse": "select round(avg(o_totalprice), 2) as mean, round(stddev_pop(o_totalprice), 2) as rmse from orders",
     "average_ratings": "select l_suppkey, count(l_quantity)::bigint as n, round(avg(l_quantity), 3) as average from lineitem group by 1 having count(l_quantity) > 20 order by average desc, l_suppkey desc limit 20",
     "centred_ratings": "with m as (select l_suppkey, avg(l_quantity) as m from lineitem group by 1) select l_suppkey, round(sum(abs(l_quantity - m)), 3) as spread from lineitem join m using (l_suppkey) group by 1",

@@ -166,6 +166,7 @@ def power_buckets(s, d):
 QUERIES = {f.__name__: f for f in (word_count_top, words_per_unique, token_df, term_frequency, tf_idf, cosine_pairs, cosine_links, pair_means, precision_recall_curve, similarity_histogram, biggest_record, html_to_text, xpath_headings, tag_rows, mail_normalised, stem_counts, cjk_bigrams, vocabulary_rows, title_term_matrix, array_features, rotations, congruential_numbers, power_buckets)}
 
 _TOK = "list_filter(string_split_regex(lower({c}), '[^A-Za-z0-9_]+'), lambda x: x <> '')"
+_TITLE_TOKENS = _TOK.format(c="title")
 _DOCS = "d as (select doc_id, text from documents)"
 _WORDS = f"with {_DOCS}, w as (select unnest(string_split_regex(trim(lower(regexp_replace(text, '[^\\sa-zA-Z0-9]', '', 'g'))), '\\s+')) as word from d), c as (select word, count(*)::bigint as n from w where word <> '' group by 1)"
 _STOP = "(" + ", ".join(f"'{w}'" for w in ir.STOP_WORDS) + ")"
@@ -196,6 +197,7 @@ SQL = {
     "similarity_histogram": f"{_SIDES} select floor(round(similarity, 6) * 100)::bigint as bin, count(*)::bigint as n from p group by 1",
     "precision_recall_curve": f"{_SIDES}, q as (select least(floor(round(similarity, 6) * 100), 99)::bigint as bin, same from p), g as (select bin, count(*) as n, count(*) filter (same) as m from q group by 1), c as (select bin, (sum(m) over w)::double as tp, (sum(n) over w)::double as al from g window w as (order by bin desc)), a1 as (select author, count(*) as n from articles_half_a where author is not null group by 1), y as (select sum(n * (n - 1) / 2) as every from a1) select bin / 100.0::double as threshold, round(tp / al, 6) as precision, round(tp / every, 6) as recall, round(coalesce(2 * (tp / al) * (tp / every) / nullif(tp / al + tp / every, 0), 0), 6) as f from c, y",
     "biggest_record": f"with {_DOCS} select doc_id, len({_TOK.format(c='text')})::bigint as n_tokens from d order by n_tokens desc, doc_id limit 1",
+    "title_term_matrix": f"with d as (select title as text from articles_half_a where title is not null), w as (select unnest(string_split_regex(trim(lower(regexp_replace(text, '[^\\sa-zA-Z0-9]', '', 'g'))), '\\s+')) as word from d), c as (select word, count(*) as n from w where word <> '' group by 1 order by n desc, word limit 10), top as (select list(word order by n desc, word) as l from c) select article_id, {', '.join(f'list_contains({_TITLE_TOKENS}, l[{i + 1}])::bigint as w{i}' for i in range(10))} from articles_half_a, top where title is not null",
     "tag_rows": "select tag, count(*)::bigint as n from (select unnest(string_split(tags, ',')) as tag from articles_half_a) group by 1",
     "html_to_text": "select article_id, replace(replace(replace(replace(replace(array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(content, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '<[^>]+>', chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''), ','), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&') as text from articles_half_a where content is not null",
     "xpath_headings": "select article_id, trim(regexp_replace(unnest(regexp_extract_all(content, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1)), '<[^>]+>', '', 'g')) as heading from articles_half_a",
