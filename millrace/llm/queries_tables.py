@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.parse import clean_text, epoch_millis, iso_millis
+from millrace.functions.scalar import row_hashes
 from millrace.llm.runs import collapse_runs
 from millrace.llm.topn import top_n
 from millrace.plans.bounds import broadcast_if_small
@@ -26,7 +27,7 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
     copies of some line differ (which a combined hash of each line tells), lines are taken by id and the least copy counts.
     """
     raw = table(spark, d, "userlog").where("log_id is not null")
-    told = F.xxhash64("author", "op_at", "op_date", "action")
+    told = row_hashes(["author", "op_at", "op_date", "action"])[0]
     differ = not raw.groupBy("log_id").agg(F.min(told).alias("least"), F.max(told).alias("most")).where("least <> most").isEmpty()
     log = raw.select("log_id", clean_text(F.col("author")).alias("author"), F.coalesce(epoch_millis(F.col("op_at")), iso_millis(F.col("op_date"))).alias("at"), action_key(clean_text(F.col("action"))).alias("key")).where("author is not null and at is not null")
     return log.groupBy("log_id").agg(F.min(F.struct("author", "at", "key")).alias("x")).select("log_id", "x.*") if differ else log

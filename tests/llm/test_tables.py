@@ -4,7 +4,7 @@ from itertools import groupby
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from millrace.llm.queries_tables import action_key
+from millrace.llm.queries_tables import action_key, p1_found, p1_runs
 from millrace.llm.runs import _local_runs, collapse_runs, in_order
 from millrace.llm.topn import score_bin, top_n
 
@@ -84,3 +84,14 @@ def test_bins_never_fall(spark):
     x = [-1e12, -55.5, -1, -0.1, 0, 0.1, 1, 2, 3, 100, 101, 1e15]
     b = [r[0] for r in spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, v double").orderBy("i").select(score_bin(F.col("v"))).collect()]
     assert b == sorted(b)
+
+
+def test_copies_of_a_line_count_once_even_if_they_differ(spark, tmp_path):
+    lines = [(1, "a", 100, None, "x.y"), (1, "a", 100, None, "x.y"), (2, "a", 101, None, "X-Y"), (3, "a", 102, None, "z")]
+    odd = [(2, "a", 900, None, "z"), (4, None, 103, None, "z"), (4, "a", None, None, "z")]
+    for name, rows, want in (("same", lines, [("a", 1, 2)]), ("odd", lines + odd, [("a", 1, 2)])):
+        d = f"{tmp_path}/{name}"
+        spark.createDataFrame(rows, "log_id bigint, author string, op_at bigint, op_date string, action string").write.parquet(f"{d}/userlog.parquet")
+        spark.createDataFrame([(1, "x.y"), (2, "z")], "action_id int, action_name string").write.parquet(f"{d}/action_names.parquet")
+        assert [tuple(r) for r in p1_found(spark, d).collect()] == want
+        assert sorted((r["first_log_id"], r["n"]) for r in p1_runs(spark, d).collect()) == [(1, 2), (3, 1)]
