@@ -225,24 +225,34 @@ def eliminated(df: DataFrame, columns: Sequence[str], keep: int, label: str = "l
 def nearest_neighbours(train: DataFrame, test: DataFrame, k: int = 5, train_block: int = 2048) -> DataFrame:
     """``id, prediction`` by the labels of the ``k`` nearest of a bounded training set (``id, vector array, label``).
 
-    The training set goes to every task and must have at most 100,000 rows; test rows stay where they are.
+    The training set goes to every task and must have at most 100,000 rows; test rows stay where they are. Rough distances
+    pick the candidates, exact ones rank them, whatever the size; ties go to the least ids, then to the least label. An
+    empty training set gives no rows.
     """
     from millrace.plans.bounds import collect_bounded
 
     rows = collect_bounded(train.select("id", "vector", "label").orderBy("id"), 100_000, "training set")
     m = np.array([r["vector"] for r in rows], float)
     ids, labels = np.array([r["id"] for r in rows]), np.array([r["label"] for r in rows])
+    if not rows:
+        return test.select("id", F.lit(None).cast("bigint").alias("prediction")).where("false")
+    squares = (m**2).sum(1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = np.vstack(b["vector"].to_numpy()).astype(float)
             out = []
             for lo in range(0, len(x), train_block):
-                d = ((x[lo : lo + train_block, None, :] - m[None, :, :]) ** 2).sum(-1) if len(m) * x.shape[1] < 50_000 else (x[lo : lo + train_block] ** 2).sum(1)[:, None] + (m**2).sum(1)[None] - 2 * x[lo : lo + train_block] @ m.T
-                near = np.lexsort((np.broadcast_to(ids, d.shape), np.round(d, 9)), axis=1)[:, :k]
-                for row in near:
-                    v, c = np.unique(labels[row], return_counts=True)
-                    out.append(int(v[np.argmax(c)]))
+                part = x[lo : lo + train_block]
+                rough = (part**2).sum(1)[:, None] + squares[None] - 2 * part @ m.T
+                last = np.partition(rough, min(k, len(m)) - 1, axis=1)[:, min(k, len(m)) - 1]
+                slack = 1e-9 * (1 + squares.max() + (part**2).sum(1))  # more than the rough distances can be off by
+                for v, r, t in zip(part, rough, last + slack, strict=True):
+                    near = np.flatnonzero(r <= t)
+                    exact = np.round(((m[near] - v) ** 2).sum(1), 9)
+                    own = near[np.lexsort((ids[near], exact))[:k]]
+                    value, count = np.unique(labels[own], return_counts=True)
+                    out.append(int(value[np.argmax(count)]))
             yield pd.DataFrame({"id": b["id"], "prediction": out})
 
     return test.select("id", "vector").mapInPandas(run, "id bigint, prediction bigint")

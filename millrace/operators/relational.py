@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from itertools import combinations, combinations_with_replacement
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.scalar import path_prefixes
@@ -165,3 +166,8 @@ def merged_lines(a: DataFrame, b: DataFrame, line: str, keys: tuple[Sequence[int
     cut = lambda df, k, v, n: df.select(F.split(line, F.lit("\\Q" + sep + "\\E")).alias("f")).select(F.concat_ws(sep, *[F.get("f", F.lit(i - 1)) for i in k]).alias("_k"), F.concat_ws(sep, *[F.get("f", F.lit(i - 1)) for i in v]).alias(n))
     both = cut(a, keys[0], values[0], "_a").join(cut(b, keys[1], values[1], "_b"), "_k")
     return both.select(F.concat_ws(sep, "_k", "_a", "_b").alias(line))
+
+
+def streamed_sorted(df: DataFrame, keys: Sequence[str], order: Sequence[Column], f: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """Secondary sort: rows of one key come to one task, sorted by key and ``order``, and pass ``f`` as a stream of frames; nothing is held but what ``f`` keeps."""
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(f, schema)

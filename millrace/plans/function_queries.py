@@ -159,7 +159,38 @@ def chi_square_counts(s, d):
     return c.agg(F.round(F.sum(part("o1", b1) + part("o0", b0)), 6).alias("statistic"))
 
 
-QUERIES = {f.__name__: f for f in (record_lines, text_forms, unicode_forms, number_forms, polar_points, kernel_values, covariance_pairs, standard_columns, gaussian_full, matrix_square, rows_beside, merged_folders, registered_sql, per_partition_sums, observed_counts, small_map, kept_twice, piped_lines, shifted_labels, one_variable_fit, chi_square_counts)}
+def _best_two(frames):
+    """The first two rows of each brand, as they come sorted; only the brand and its count are kept from frame to frame."""
+    brand, seen = None, 0
+    for f in frames:
+        take = []
+        for b, k, size in f.itertuples(index=False):
+            seen = seen + 1 if b == brand else 1
+            brand = b
+            if seen <= 2:
+                take.append((b, k, size, seen))
+        yield pd.DataFrame(take, columns=["p_brand", "p_partkey", "p_size", "place"])
+
+
+def secondary_sort(s, d):
+    """The two largest parts of each brand from a stream sorted by brand and size."""
+    p = table(s, d, "part").select("p_brand", F.col("p_partkey").cast("bigint").alias("p_partkey"), F.col("p_size").cast("bigint").alias("p_size"))
+    return rel.streamed_sorted(p, ["p_brand"], [F.desc("p_size"), F.col("p_partkey")], _best_two, "p_brand string, p_partkey bigint, p_size bigint, place bigint")
+
+
+def spread_by_udaf(s, d):
+    """Interquartile range of monthly order totals by priority, by an aggregate function of one's own."""
+    from pyspark.sql import types as T
+
+    @F.pandas_udf(T.DoubleType())
+    def middle_range(x: pd.Series) -> float:
+        return float(x.quantile(0.75) - x.quantile(0.25))
+
+    monthly = table(s, d, "orders").groupBy("o_orderpriority", F.trunc("o_orderdate", "month").alias("month")).agg(F.sum("o_totalprice").alias("v"))  # one row a month: groups stay small
+    return monthly.groupBy("o_orderpriority").agg(F.round(middle_range("v"), 2).alias("spread"))
+
+
+QUERIES = {f.__name__: f for f in (record_lines, text_forms, unicode_forms, number_forms, polar_points, kernel_values, covariance_pairs, standard_columns, gaussian_full, matrix_square, rows_beside, merged_folders, registered_sql, per_partition_sums, observed_counts, small_map, kept_twice, piped_lines, shifted_labels, one_variable_fit, chi_square_counts, secondary_sort, spread_by_udaf)}
 
 _CELLS = "c as (select (l_suppkey % 40)::bigint as i, (l_partkey % 30)::bigint as j, sum(l_linenumber)::bigint as v from lineitem group by 1, 2)"
 SQL = {
@@ -180,6 +211,8 @@ SQL = {
     "observed_counts": "select 'open' as what, (count(*) filter (o_orderstatus = 'O'))::bigint as n from orders union all select 'size0', count(*) filter (o_totalprice < 50000) from orders union all select 'size1', count(*) filter (o_totalprice >= 50000 and o_totalprice < 100000) from orders union all select 'size2', count(*) filter (o_totalprice >= 100000 and o_totalprice < 200000) from orders union all select 'size3', count(*) filter (o_totalprice >= 200000) from orders",
     "small_map": "select n_name as nation, count(*)::bigint as n from customer join nation on c_nationkey = n_nationkey group by 1",
     "kept_twice": "with g as (select o_custkey, count(*) as n from orders group by 1) select max(n)::bigint as most, (select count(*) from g where n = (select max(n) from g))::bigint as customers from g",
+    "secondary_sort": "select * from (select p_brand, p_partkey::bigint as p_partkey, p_size::bigint as p_size, (row_number() over (partition by p_brand order by p_size desc, p_partkey))::bigint as place from part) where place <= 2",
+    "spread_by_udaf": "with m as (select o_orderpriority, date_trunc('month', o_orderdate) as month, sum(o_totalprice) as v from orders group by 1, 2) select o_orderpriority, round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25), 2) as spread from m group by 1",
     "piped_lines": "select lower(n_name) as line from nation",
     "shifted_labels": "select o_orderkey, (year(o_orderdate) - (select min(year(o_orderdate)) from orders))::bigint as label from orders",
     "one_variable_fit": "select round(regr_slope(l_extendedprice, l_quantity), 2) as slope, round(regr_intercept(l_extendedprice, l_quantity), 1) as intercept from lineitem",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import DataFrame, Row, functions as F
 
@@ -69,6 +70,17 @@ def upsert_documents(df: DataFrame, key: str, send: Callable[[str, str], None])
     df.select(F.col(key).cast("string").alias("k"), F.to_json(F.struct("*")).alias("j")).foreachPartition(run)
 
 
+def upsert_batches(df: DataFrame, key: str, send: Callable[[list[tuple[str, str]]], None], batch: int = 500) -> None:
+    """Calls ``send([(key, json), ...])`` with at most ``batch`` rows at a time, from the task that holds them; ``send`` must bear repeats."""
+
+    def run(rows: Iterator[Row]) -> None:
+        pairs = ((str(r["k"]), r["j"]) for r in rows)
+        while part := list(islice(pairs, batch)):
+            send(part)
+
+    df.select(F.col(key).cast("string").alias("k"), F.to_json(F.struct("*")).alias("j")).foreachPartition(run)
+
+
 def expired(df: DataFrame, day: str, today: str, keep_days: int) -> DataFrame:
     """Rows (of folders, say) older than ``keep_days``."""
     return df.where(F.datediff(F.to_date(F.lit(today)), F.to_date(F.col(day))) > keep_days)

@@ -182,3 +182,34 @@ def test_sas_files_need_a_reader(spark, tmp_path):
     (tmp_path / "x.sas7bdat").write_bytes(b"not one")
     with pytest.raises((ValueError, pd.errors.ParserError, EOFError)):
         outside.sas_table(spark, str(tmp_path / "x.sas7bdat"))
+
+
+def test_nearest_neighbours_by_exact_distances(spark):
+    from millrace.operators.ml import nearest_neighbours
+
+    rng = np.random.default_rng(9)
+    train, test = rng.integers(0, 4, (150, 3)).astype(float), rng.integers(0, 4, (40, 3)).astype(float)
+    labels = rng.integers(0, 3, 150)
+    frame = lambda m, y: spark.createDataFrame([(i, v.tolist(), int(z)) for i, (v, z) in enumerate(zip(m, y, strict=True))], "id bigint, vector array<double>, label bigint")
+    got = {r["id"]: r["prediction"] for r in nearest_neighbours(frame(train, labels), frame(test, np.zeros(40))).collect()}
+    for i, v in enumerate(test):
+        near = sorted(range(150), key=lambda j: (((train[j] - v) ** 2).sum(), j))[:5]  # noqa: B023
+        counts = np.bincount(labels[near], minlength=3)
+        assert got[i] == int(np.argmax(counts))
+    assert nearest_neighbours(frame(train[:0], labels[:0]), frame(test, np.zeros(40))).count() == 0
+
+
+def test_upserts_come_in_batches(spark, tmp_path):
+    from millrace.sources.sinks import upsert_batches
+
+    out = str(tmp_path)
+
+    def send(rows):
+        import os
+        import uuid
+
+        with open(os.path.join(out, f"{len(rows)}-{uuid.uuid4().hex}"), "w") as f:
+            f.write("\n".join(k for k, _ in rows))
+
+    upsert_batches(spark.range(7).coalesce(1), "id", send, 3)
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["1", "3", "3"]
